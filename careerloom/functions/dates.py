@@ -36,12 +36,14 @@ def position_interval(
     """Struct (from_year, to_year); either is null when the date is unusable.
 
     The start is clamped to ``start_year``; a missing end means ``end_year``.
-    The current flag plays no part and the end is not clamped.
+    The current flag plays no part and the end is not clamped. Dates may still
+    be written with '/'.
     """
-    start, end = date_year(position["start_date"]), position["end_date"]
+    start = date_year(normalize_date(position["start_date"]))
+    end = position["end_date"]
     return F.struct(
         F.when(start.isNotNull(), F.greatest(start, F.lit(start_year))).alias("from_year"),
-        F.when(end.isNull(), F.lit(end_year)).otherwise(date_year(end)).alias("to_year"),
+        F.when(end.isNull(), F.lit(end_year)).otherwise(date_year(normalize_date(end))).alias("to_year"),
     )
 
 
@@ -51,6 +53,7 @@ def position_interval_current(
     """Like :func:`position_interval`, but led by the current flag.
 
     A current position lasts until ``end_year``; any other needs an end date.
+    Dates written with '/' have no readable year here.
     """
     start = date_year(position["start_date"])
     return F.struct(
@@ -61,18 +64,28 @@ def position_interval_current(
     )
 
 
+def _position_fields(positions: str, fields: Iterable[str]) -> Column:
+    """Array of structs with the given fields of the positions.
+
+    Taking each field on its own lets a columnar scan skip the others, of which
+    the free text is most of a profile.
+    """
+    return F.arrays_zip(*[F.col(f"{positions}.{field}") for field in fields])
+
+
 def dated_positions(
-    positions: Column,
+    positions: str = "positions",
     start_year: int = START_YEAR,
     end_year: int = END_YEAR,
     fields: Iterable[str] = POSITION_COLUMNS,
 ) -> Column:
     """Array of the dated positions in list order, with from_year and to_year.
 
-    ``fields`` are the position fields to carry along; an empty list keeps the
-    rows that are later unfolded by year narrow.
+    ``fields`` are the position fields to carry along; with an empty list only
+    the dates are read.
     """
     fields = list(fields)
+    read = list(dict.fromkeys([*fields, "start_date", "end_date"]))
 
     def with_interval(p: Column) -> Column:
         interval = position_interval(p, start_year, end_year)
@@ -83,7 +96,7 @@ def dated_positions(
         )
 
     return F.filter(
-        F.transform(positions, with_interval),
+        F.transform(_position_fields(positions, read), with_interval),
         lambda p: p["from_year"].isNotNull() & p["to_year"].isNotNull(),
     )
 
@@ -104,7 +117,7 @@ def active_positions(dated: Column, year: Column) -> Column:
 
 
 def is_active_in(
-    positions: Column, year: int, start_year: int = START_YEAR, end_year: int = END_YEAR
+    year: int, positions: str = "positions", start_year: int = START_YEAR, end_year: int = END_YEAR
 ) -> Column:
     """True when some dated position covers ``year``."""
 
@@ -113,7 +126,7 @@ def is_active_in(
         inside = (interval["from_year"] <= year) & (interval["to_year"] >= year)
         return F.coalesce(inside, F.lit(False))
 
-    return F.exists(positions, covers)
+    return F.exists(_position_fields(positions, ["start_date", "end_date"]), covers)
 
 
 def normalize_positions(positions: Column) -> Column:

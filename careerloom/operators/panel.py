@@ -49,7 +49,7 @@ def active_in_year(
     profiles: DataFrame, year: int, start_year: int = START_YEAR, end_year: int = END_YEAR
 ) -> DataFrame:
     """Profiles with at least one dated position that covers ``year``."""
-    return profiles.filter(is_active_in(F.col("positions"), year, start_year, end_year))
+    return profiles.filter(is_active_in(year, "positions", start_year, end_year))
 
 
 def profile_year_panel(
@@ -66,7 +66,7 @@ def profile_year_panel(
     happens inside the row, so nothing is shuffled.
     """
     kept = [c for c in profiles.columns if c not in ("positions", "relevant_experience")]
-    dated = dated_positions(F.col("positions"), start_year, end_year, position_fields)
+    dated = dated_positions("positions", start_year, end_year, position_fields)
     return (
         profiles.select(*kept, dated.alias("_dated"))
         .select(
@@ -138,7 +138,7 @@ def year_store_rows(
     fields = ("title", "company_name")
     return (
         pruned.select(
-            *head, dated_positions(F.col("positions"), start_year, end_year, fields).alias("_dated")
+            *head, dated_positions("positions", start_year, end_year, fields).alias("_dated")
         )
         .select(*names, "_dated", F.explode(years).alias("year"))
         .select(*names, "year", active_positions(dated, F.col("year")).alias("positions"))
@@ -165,7 +165,7 @@ def null_sector_count(
     years = span_years(F.col("_dated"))
     return (
         profiles.filter(missing_sector(F.col(sector_col)))
-        .select(dated_positions(F.col("positions"), start_year, end_year, ()).alias("_dated"))
+        .select(dated_positions("positions", start_year, end_year, ()).alias("_dated"))
         .select(F.size(years).alias("_years"))
         .filter(F.col("_years") > 0)
         .agg(

@@ -79,14 +79,16 @@ def assign_sector(
     """Add ``sector``: that of the industry, else that of most skills, else null.
 
     Only profiles whose industry is missing or unmapped take the skill path, so
-    the others are never shuffled. ``normalize`` looks up cleaned industries
+    the others are never shuffled. ``profiles`` is read once per path: pass a
+    table, not a costly query. ``normalize`` looks up cleaned industries
     and skills instead of the text as written.
     """
     lookup = clean_lookup(industry_sector) if normalize else industry_sector
     lookup = lookup.select(F.col("industry").alias("_industry"), "sector")
     key = clean_tag(F.col("industry")) if normalize else F.col("industry")
-    mapped = profiles.join(lookup, key == F.col("_industry")).select(*profiles.columns, "sector")
-    unmapped = profiles.join(lookup, key == F.col("_industry"), "left_anti")
+    looked_up = profiles.join(lookup, key == F.col("_industry"), "left").drop("_industry")
+    mapped = looked_up.filter(F.col("sector").isNotNull())
+    unmapped = looked_up.filter(F.col("sector").isNull()).drop("sector")
     by_skill = dominant_skill_sector(unmapped, tag_sector, id_col, normalize)
     return mapped.unionByName(unmapped.join(by_skill, id_col, "left"))
 

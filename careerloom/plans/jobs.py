@@ -13,7 +13,6 @@ from careerloom.operators import (
     feature_columns,
     feature_rows,
     profile_year_panel,
-    prune_profile,
     require_sector,
     sector_country_active,
     sector_models,
@@ -64,12 +63,9 @@ def evidence_table(
     who look alike are scored once. Partial aggregation makes both small before
     anything is shuffled. The table is written, because both halves read it.
     """
-    narrow = require_sector(assigned).select(
-        "pid", "sector", "num_connections", "skills", "positions"
-    )
-    features = feature_columns(
-        prune_profile(narrow), top_tags, k, normalize
-    )
+    # Rewriting whole positions is left out: only their dates are read.
+    people = require_sector(assigned).select("pid", "sector", "num_connections", "skills", "positions")
+    features = feature_columns(people, top_tags, k, normalize)
     panel = profile_year_panel(features, start_year, end_year, position_fields=())
     rows = feature_rows(panel, top_tags, k)
     is_test = F.col("year") == test_year

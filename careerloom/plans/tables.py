@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from careerloom.sources import profile_json_lines
 
@@ -17,8 +18,15 @@ START_YEAR, END_YEAR, TEST_YEAR = 1996, 2001, 2000
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """One given table. Its schema is read from the file footers once per path."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def people(spark: SparkSession, folder: str) -> DataFrame:
@@ -140,9 +148,9 @@ def place_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def object_lines(spark: SparkSession, folder: str) -> DataFrame:
+def object_lines(people_with_lists: DataFrame) -> DataFrame:
     """(pid, value): one JSON object per person; some lines are broken, blank or null."""
-    whole = profile_json_lines(profiles(spark, folder), keep=("pid",))
+    whole = profile_json_lines(people_with_lists, keep=("pid",))
     return whole.select(
         "pid",
         F.expr(
@@ -153,9 +161,9 @@ def object_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def array_lines(spark: SparkSession, folder: str) -> DataFrame:
+def array_lines(people_with_lists: DataFrame) -> DataFrame:
     """(line_no, value): JSON arrays of up to three people; some lines are broken, blank or null."""
-    whole = profile_json_lines(profiles(spark, folder), keep=("pid",))
+    whole = profile_json_lines(people_with_lists, keep=("pid",))
     entries = F.sort_array(F.collect_set(F.struct("pid", "value")))["value"]
     lines = whole.groupBy(F.expr("pid div 3").alias("line_no")).agg(entries.alias("_objects"))
     return lines.select(
@@ -169,9 +177,9 @@ def array_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def customer_pair_lines(spark: SparkSession, folder: str) -> DataFrame:
+def customer_pair_lines(customers: DataFrame) -> DataFrame:
     """(line_no, line): a ``key,value`` line per customer, many with the same key."""
-    return table(spark, folder, "customer").selectExpr(
+    return customers.selectExpr(
         "c_custkey AS line_no",
         """CASE WHEN c_custkey % 17 = 0 THEN concat(c_mktsegment, ' ', c_nationkey, ',')
                 ELSE concat_ws(',', concat(c_mktsegment, ' ', c_nationkey), concat('v', c_custkey % 10), 'x')
@@ -179,9 +187,9 @@ def customer_pair_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def customer_place_lines(spark: SparkSession, folder: str) -> DataFrame:
+def customer_place_lines(customers: DataFrame) -> DataFrame:
     """(line_no, line): a ``country,state,city`` line per customer; some are short or have gaps."""
-    return table(spark, folder, "customer").selectExpr(
+    return customers.selectExpr(
         "c_custkey AS line_no",
         """CASE WHEN c_custkey % 17 = 0 THEN concat('Land_', c_nationkey, ',State_1')
                 WHEN c_custkey % 17 = 1 THEN concat('Land_', c_nationkey, ',,City_', c_custkey % 97)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,78 +15,101 @@ from careerloom.plans import evaluate_held_out_year, headcount_report, jobs, tab
 from careerloom.plans.tables import END_YEAR, START_YEAR, TEST_YEAR
 from careerloom.schema import TOP_K
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 YEARS = (START_YEAR, END_YEAR)
 TAGS = op.tag_columns(TOP_K)
 
 
-def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
-
-
-def big(name: str, alias: str | None = None):
-    return F.col(name).cast("bigint").alias(alias or name)
+class Inputs:
+    """What queries read, derived from one folder of tables; each part is built once per query."""
 
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
 
-def joined(name: str, separator: str = "|"):
-    return F.concat_ws(separator, F.col(name)).alias(name)
+    def table(self, name: str) -> DataFrame:
+        return tables.table(self.spark, self.folder, name)
 
+    @cached_property
+    def profiles(self) -> DataFrame:
+        return tables.profiles(self.spark, self.folder)
 
-# Shared inputs
+    @cached_property
+    def profile_table(self) -> DataFrame:
+        """The profiles as a written table, for queries that read them more than once."""
+        return sources.written_table(self.profiles)
 
+    @cached_property
+    def sector_lookup(self) -> DataFrame:
+        return sources.lookup_pairs(tables.sector_lines(self.spark, self.folder), "industry", "sector")
 
-def sector_lookup(spark: SparkSession, d: str) -> DataFrame:
-    return sources.lookup_pairs(tables.sector_lines(spark, d), "industry", "sector")
+    @cached_property
+    def places(self) -> DataFrame:
+        return sources.place_lookup(tables.place_lines(self.spark, self.folder))
 
+    def tag_lists(self, profiles: DataFrame) -> DataFrame:
+        return op.tag_industries(op.explode_skill_tags(profiles, ["batch"]), ["batch"])
 
-def place_table(spark: SparkSession, d: str) -> DataFrame:
-    return sources.place_lookup(tables.place_lines(spark, d))
+    def tag_counts(self, profiles: DataFrame) -> DataFrame:
+        rows = op.tag_row_sectors(self.tag_lists(profiles), self.sector_lookup, ["batch"])
+        return op.tag_sector_counts(rows)
 
+    @cached_property
+    def tag_sector(self) -> DataFrame:
+        return op.top_sector_per_tag(self.tag_counts(self.profile_table))
 
-def tag_lists(spark: SparkSession, d: str) -> DataFrame:
-    tags = op.explode_skill_tags(tables.profiles(spark, d), ["batch"])
-    return op.tag_industries(tags, ["batch"])
+    @cached_property
+    def assigned(self) -> DataFrame:
+        return op.assign_sector(self.profile_table, self.sector_lookup, self.tag_sector)
 
+    @cached_property
+    def pruned(self) -> DataFrame:
+        return op.prune_profile(self.assigned)
 
-def tag_counts(spark: SparkSession, d: str) -> DataFrame:
-    rows = op.tag_row_sectors(tag_lists(spark, d), sector_lookup(spark, d), ["batch"])
-    return op.tag_sector_counts(rows)
+    @cached_property
+    def assigned_and_top_tags(self) -> tuple[DataFrame, DataFrame]:
+        tag_sector, top_tags = jobs.tag_tables(self.profile_table, self.sector_lookup)
+        return op.assign_sector(self.profile_table, self.sector_lookup, tag_sector), top_tags
 
+    @cached_property
+    def features(self) -> DataFrame:
+        assigned, top_tags = self.assigned_and_top_tags
+        # Feature columns depend on the person only, so they come before the years unfold.
+        people = op.feature_columns(op.require_sector(assigned), top_tags)
+        panel = op.profile_year_panel(people, *YEARS, position_fields=())
+        return op.feature_rows(panel, top_tags)
 
-def assigned(spark: SparkSession, d: str) -> DataFrame:
-    tag_sector = op.top_sector_per_tag(tag_counts(spark, d))
-    return op.assign_sector(tables.profiles(spark, d), sector_lookup(spark, d), tag_sector)
+    @cached_property
+    def models(self) -> DataFrame:
+        train, _ = op.split_by_year(self.features, TEST_YEAR)
+        return op.train_sector_year_nb(train)
 
+    @cached_property
+    def test_rows_and_models(self) -> tuple[DataFrame, DataFrame]:
+        train, test = op.split_by_year(sources.written_table(self.features), TEST_YEAR)
+        return test, op.sector_models(op.train_sector_year_nb(train))
 
-def pruned(spark: SparkSession, d: str) -> DataFrame:
-    return op.prune_profile(assigned(spark, d))
+    @cached_property
+    def predictions(self) -> DataFrame:
+        return op.vote(*self.test_rows_and_models)
 
 
-def dated_profiles(spark: SparkSession, d: str) -> DataFrame:
-    """Profiles with normalised dates; enough for operators that need no sector."""
-    return tables.profiles(spark, d).withColumn("positions", cf.normalize_positions(F.col("positions")))
+def query(fn: Callable[[Inputs], DataFrame]) -> Callable[[Inputs], DataFrame]:
+    """Register a query under its function's name."""
 
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return fn(Inputs(spark, folder))
 
-def features(spark: SparkSession, d: str) -> DataFrame:
-    profiles, lookup = tables.profiles(spark, d), sector_lookup(spark, d)
-    tag_sector, top_tags = jobs.tag_tables(profiles, lookup)
-    people = op.require_sector(op.assign_sector(profiles, lookup, tag_sector))
-    # Feature columns depend on the person only, so they are added before the years unfold.
-    people = op.feature_columns(op.prune_profile(people), top_tags)
-    panel = op.profile_year_panel(people, *YEARS, position_fields=())
-    return op.feature_rows(panel, top_tags)
+    QUERIES[fn.__name__] = run
+    return fn
 
 
-def test_rows_and_models(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    train, test = op.split_by_year(sources.written_table(features(spark, d)), TEST_YEAR)
-    return test, op.sector_models(op.train_sector_year_nb(train))
+def big(name: str, alias: str | None = None):
+    return F.col(name).cast("bigint").alias(alias or name)
 
 
-def predictions(spark: SparkSession, d: str) -> DataFrame:
-    return op.vote(*test_rows_and_models(spark, d))
+def joined(name: str, separator: str = "|"):
+    return F.concat_ws(separator, F.col(name)).alias(name)
 
 
 def model_columns(models: DataFrame) -> DataFrame:
@@ -106,8 +130,8 @@ def model_columns(models: DataFrame) -> DataFrame:
 
 
 @query
-def read_profile_arrays(spark, d):
-    people = sources.read_profile_arrays(tables.array_lines(spark, d))
+def read_profile_arrays(x: Inputs) -> DataFrame:
+    people = sources.read_profile_arrays(tables.array_lines(x.profiles))
     return people.select(
         "line_no",
         "first_name",
@@ -123,9 +147,9 @@ def read_profile_arrays(spark, d):
 
 
 @query
-def read_profile_objects(spark, d):
+def read_profile_objects(x: Inputs) -> DataFrame:
     people = sources.read_profile_objects(
-        tables.object_lines(spark, d), columns=["first_name", "industry", "skills", "positions"]
+        tables.object_lines(x.profiles), columns=["first_name", "industry", "skills", "positions"]
     )
     return people.select(
         "pid",
@@ -138,63 +162,63 @@ def read_profile_objects(spark, d):
 
 
 @query
-def rejected_lines(spark, d):
-    arrays = sources.rejected_lines(tables.array_lines(spark, d)).withColumn("layout", F.lit("array"))
-    objects = sources.rejected_lines(tables.object_lines(spark, d), layout="object")
+def rejected_lines(x: Inputs) -> DataFrame:
+    arrays = sources.rejected_lines(tables.array_lines(x.profiles)).withColumn("layout", F.lit("array"))
+    objects = sources.rejected_lines(tables.object_lines(x.profiles), layout="object")
     both = arrays.unionByName(objects.withColumn("layout", F.lit("object")))
     return both.groupBy("layout", "reason").agg(F.count("*").alias("n_lines"))
 
 
 @query
-def lookup_pairs(spark, d):
-    return sources.lookup_pairs(tables.customer_pair_lines(spark, d))
+def lookup_pairs(x: Inputs) -> DataFrame:
+    return sources.lookup_pairs(tables.customer_pair_lines(x.table("customer")))
 
 
 @query
-def lookup_lists(spark, d):
-    lines = sources.key_list_lines(tag_lists(spark, d), "tag", "industries", ["batch"])
+def lookup_lists(x: Inputs) -> DataFrame:
+    lines = sources.key_list_lines(x.tag_lists(x.profiles), "tag", "industries", ["batch"])
     lists = sources.lookup_lists(lines, line_col="value", line_no_col="batch")
     return lists.select("key", joined("values"))
 
 
 @query
-def place_lookup(spark, d):
-    return sources.place_lookup(tables.customer_place_lines(spark, d))
+def place_lookup(x: Inputs) -> DataFrame:
+    return sources.place_lookup(tables.customer_place_lines(x.table("customer")))
 
 
 @query
-def read_matching_files(spark, d):
-    orders = sources.read_matching_files(spark, d, "order", "parquet")
+def read_matching_files(x: Inputs) -> DataFrame:
+    orders = sources.read_matching_files(x.spark, x.folder, "order", "parquet")
     return orders.groupBy("o_orderstatus").agg(F.count("*").alias("n_orders"))
 
 
 @query
-def write_key_list(spark, d):
-    path = f"{sources.scratch_folder(spark)}/tagindustry"
-    tags = op.explode_skill_tags(tables.profiles(spark, d))
+def write_key_list(x: Inputs) -> DataFrame:
+    path = f"{sources.scratch_folder(x.spark)}/tagindustry"
+    tags = op.explode_skill_tags(x.profiles)
     sources.write_key_list(op.tag_industries(tags), path, "tag", "industries")
-    return spark.read.text(path)
+    return x.spark.read.text(path)
 
 
 @query
-def write_named_outputs(spark, d):
-    folder = sources.scratch_folder(spark)
-    counts = sources.written_table(tag_counts(spark, d), folder)
+def write_named_outputs(x: Inputs) -> DataFrame:
+    folder = sources.scratch_folder(x.spark)
+    counts = sources.written_table(x.tag_counts(x.profiles), folder)
     best = op.top_sector_per_tag(counts).select(F.concat_ws(",", "tag", "sector").alias("value"))
     top = sources.key_list_lines(op.top_tags_per_sector(counts), "sector", "tags")
     sources.write_named_outputs({"tagsector": best, "toptags": top}, folder)
     outputs = [
-        spark.read.text(f"{folder}/{name}").select(F.lit(name).alias("output"), "value")
+        x.spark.read.text(f"{folder}/{name}").select(F.lit(name).alias("output"), "value")
         for name in ("tagsector", "toptags")
     ]
     return outputs[0].unionByName(outputs[1])
 
 
 @query
-def write_profile_json(spark, d):
-    path = f"{sources.scratch_folder(spark)}/pruneddata"
-    sources.write_profile_json(pruned(spark, d), path)
-    people = sources.read_profile_objects(spark.read.text(path))
+def write_profile_json(x: Inputs) -> DataFrame:
+    path = f"{sources.scratch_folder(x.spark)}/pruneddata"
+    sources.write_profile_json(x.pruned, path)
+    people = sources.read_profile_objects(x.spark.read.text(path))
     return people.select(
         "first_name",
         "industry",
@@ -205,39 +229,38 @@ def write_profile_json(spark, d):
     )
 
 
-def _stored_models(spark, d):
-    path = f"{sources.scratch_folder(spark)}/models"
-    train, _ = op.split_by_year(features(spark, d), TEST_YEAR)
-    sources.model_store(op.train_sector_year_nb(train), path)
+def _stored_models(x: Inputs) -> DataFrame:
+    path = f"{sources.scratch_folder(x.spark)}/models"
+    sources.model_store(x.models, path)
     return path
 
 
 @query
-def model_store(spark, d):
-    return model_columns(sources.model_load(spark, _stored_models(spark, d)))
+def model_store(x: Inputs) -> DataFrame:
+    return model_columns(sources.model_load(x.spark, _stored_models(x)))
 
 
 @query
-def model_load(spark, d):
+def model_load(x: Inputs) -> DataFrame:
     wanted = ["AUTOMOTIVE", "TECHNOLOGY"]
-    return model_columns(sources.model_load(spark, _stored_models(spark, d), wanted))
+    return model_columns(sources.model_load(x.spark, _stored_models(x), wanted))
 
 
-def _year_store(spark, d):
-    path = f"{sources.scratch_folder(spark)}/years"
-    rows = op.year_store_rows(pruned(spark, d), start_year=START_YEAR, end_year=END_YEAR)
+def _year_store(x: Inputs) -> DataFrame:
+    path = f"{sources.scratch_folder(x.spark)}/years"
+    rows = op.year_store_rows(x.pruned, start_year=START_YEAR, end_year=END_YEAR)
     sources.year_store_write(rows, path)
-    return sources.year_store_read(spark, path)
+    return sources.year_store_read(x.spark, path)
 
 
 @query
-def year_store_write(spark, d):
-    return _year_store(spark, d).groupBy(big("year"), "sector").agg(F.count("*").alias("n_rows"))
+def year_store_write(x: Inputs) -> DataFrame:
+    return _year_store(x).groupBy(big("year"), "sector").agg(F.count("*").alias("n_rows"))
 
 
 @query
-def year_store_scan(spark, d):
-    people = sources.year_store_scan(_year_store(spark, d), TEST_YEAR)
+def year_store_scan(x: Inputs) -> DataFrame:
+    people = sources.year_store_scan(_year_store(x), TEST_YEAR)
     position = F.col("positions")[0]
     return people.select(
         "pid",
@@ -255,8 +278,8 @@ def year_store_scan(spark, d):
 # Projections and filters
 
 
-def _skills(spark, d):
-    return tables.profiles(spark, d).select("pid", "industry", F.posexplode("skills").alias("pos", "skill"))
+def _skills(x: Inputs) -> DataFrame:
+    return x.profiles.select("pid", "industry", F.posexplode("skills").alias("pos", "skill"))
 
 
 def _positions(profiles: DataFrame) -> DataFrame:
@@ -264,8 +287,8 @@ def _positions(profiles: DataFrame) -> DataFrame:
 
 
 @query
-def clean_tag(spark, d):
-    return _skills(spark, d).select(
+def clean_tag(x: Inputs) -> DataFrame:
+    return _skills(x).select(
         "pid",
         big("pos"),
         cf.clean_tag(F.col("skill")).alias("tag"),
@@ -274,25 +297,25 @@ def clean_tag(spark, d):
 
 
 @query
-def drop_blank(spark, d):
-    rows = _skills(spark, d).withColumn("tag", cf.clean_tag(F.col("skill")))
+def drop_blank(x: Inputs) -> DataFrame:
+    rows = _skills(x).withColumn("tag", cf.clean_tag(F.col("skill")))
     return op.drop_blank(rows, "industry", "skill", "tag").select("pid", big("pos"), "industry", "skill")
 
 
 @query
-def explode_skill_tags(spark, d):
-    return op.explode_skill_tags(tables.profiles(spark, d), ["pid"])
+def explode_skill_tags(x: Inputs) -> DataFrame:
+    return op.explode_skill_tags(x.profiles, ["pid"])
 
 
 @query
-def explode_title_tags(spark, d):
-    return op.explode_title_tags(tables.profiles(spark, d), ["pid"])
+def explode_title_tags(x: Inputs) -> DataFrame:
+    return op.explode_title_tags(x.profiles, ["pid"])
 
 
 @query
-def clean_connections(spark, d):
+def clean_connections(x: Inputs) -> DataFrame:
     text = F.col("num_connections")
-    return tables.profiles(spark, d).select(
+    return x.profiles.select(
         "pid",
         cf.clean_connections(text).alias("num_connections"),
         cf.connection_count(text).cast("bigint").alias("connections"),
@@ -300,17 +323,18 @@ def clean_connections(spark, d):
 
 
 @query
-def normalize_dates(spark, d):
+def normalize_dates(x: Inputs) -> DataFrame:
     position = F.col("position")
-    return _positions(dated_profiles(spark, d)).select(
+    clean = x.profiles.withColumn("positions", cf.normalize_positions(F.col("positions")))
+    return _positions(clean).select(
         "pid", big("pos"), position["start_date"].alias("start_date"), position["end_date"].alias("end_date")
     )
 
 
 @query
-def date_year(spark, d):
+def date_year(x: Inputs) -> DataFrame:
     position = F.col("position")
-    return _positions(tables.profiles(spark, d)).select(
+    return _positions(x.profiles).select(
         "pid",
         big("pos"),
         cf.date_year(position["start_date"]).cast("bigint").alias("from_year"),
@@ -325,18 +349,18 @@ def _intervals(positions, interval):
 
 
 @query
-def position_interval(spark, d):
-    return _intervals(_positions(dated_profiles(spark, d)), cf.position_interval)
+def position_interval(x: Inputs) -> DataFrame:
+    return _intervals(_positions(x.profiles), cf.position_interval)
 
 
 @query
-def position_interval_current(spark, d):
-    return _intervals(_positions(tables.profiles(spark, d)), cf.position_interval_current)
+def position_interval_current(x: Inputs) -> DataFrame:
+    return _intervals(_positions(x.profiles), cf.position_interval_current)
 
 
 @query
-def prune_profile(spark, d):
-    rows = pruned(spark, d).select(
+def prune_profile(x: Inputs) -> DataFrame:
+    rows = x.pruned.select(
         "pid", "industry", "num_connections", F.posexplode_outer("positions").alias("pos", "position")
     )
     position = F.col("position")
@@ -350,29 +374,29 @@ def prune_profile(spark, d):
 
 
 @query
-def require_sector(spark, d):
-    return op.require_sector(assigned(spark, d)).select("pid", "sector")
+def require_sector(x: Inputs) -> DataFrame:
+    return op.require_sector(x.assigned).select("pid", "sector")
 
 
 @query
-def valid_sector(spark, d):
-    named = assigned(spark, d).withColumn("sector", F.coalesce("sector", "industry"))
+def valid_sector(x: Inputs) -> DataFrame:
+    named = x.assigned.withColumn("sector", F.coalesce("sector", "industry"))
     return op.valid_sector(named).select("pid", "sector")
 
 
 @query
-def active_in_year(spark, d):
-    return op.active_in_year(dated_profiles(spark, d), TEST_YEAR, *YEARS).select("pid")
+def active_in_year(x: Inputs) -> DataFrame:
+    return op.active_in_year(x.profiles, TEST_YEAR, *YEARS).select("pid")
 
 
 @query
-def location_tokens(spark, d):
-    return op.location_tokens(tables.profiles(spark, d)).select("pid", big("pos"), "token")
+def location_tokens(x: Inputs) -> DataFrame:
+    return op.location_tokens(x.profiles).select("pid", big("pos"), "token")
 
 
 @query
-def parse_tag_line(spark, d):
-    lines = sources.key_list_lines(tag_lists(spark, d), "tag", "industries", ["batch"])
+def parse_tag_line(x: Inputs) -> DataFrame:
+    lines = sources.key_list_lines(x.tag_lists(x.profiles), "tag", "industries", ["batch"])
     parsed = sources.parse_tag_line(lines, "value")
     return parsed.select(big("batch"), "tag", joined("industries"))
 
@@ -381,39 +405,35 @@ def parse_tag_line(spark, d):
 
 
 @query
-def industry_sector_join(spark, d):
-    rows = tables.profiles(spark, d).select("pid", "industry")
-    return op.industry_sector_join(rows, sector_lookup(spark, d)).select("pid", "industry", "sector")
+def industry_sector_join(x: Inputs) -> DataFrame:
+    rows = x.profiles.select("pid", "industry")
+    return op.industry_sector_join(rows, x.sector_lookup).select("pid", "industry", "sector")
 
 
 @query
-def assign_sector(spark, d):
-    return assigned(spark, d).select("pid", "sector")
+def assign_sector(x: Inputs) -> DataFrame:
+    return x.assigned.select("pid", "sector")
 
 
 @query
-def skill_sector_join(spark, d):
-    tag_sector = op.top_sector_per_tag(tag_counts(spark, d))
-    rows = op.skill_sector_join(tables.profiles(spark, d), tag_sector)
+def skill_sector_join(x: Inputs) -> DataFrame:
+    rows = op.skill_sector_join(x.profile_table, x.tag_sector)
     return rows.select("pid", big("pos"), "skill", "sector")
 
 
 @query
-def resolve_country(spark, d):
-    return op.resolve_country(tables.profiles(spark, d), place_table(spark, d))
+def resolve_country(x: Inputs) -> DataFrame:
+    return op.resolve_country(x.profiles, x.places)
 
 
 @query
-def attach_top_tags(spark, d):
-    profiles, lookup = tables.profiles(spark, d), sector_lookup(spark, d)
-    tag_sector, top_tags = jobs.tag_tables(profiles, lookup)
-    people = op.attach_top_tags(op.assign_sector(profiles, lookup, tag_sector), top_tags)
-    return people.select("pid", "sector", joined("tags"))
+def attach_top_tags(x: Inputs) -> DataFrame:
+    return op.attach_top_tags(*x.assigned_and_top_tags).select("pid", "sector", joined("tags"))
 
 
 @query
-def score_join(spark, d):
-    rows = op.score_join(*test_rows_and_models(spark, d))
+def score_join(x: Inputs) -> DataFrame:
+    rows = op.score_join(*x.test_rows_and_models)
     pairs = rows.select("pid", "sector", F.explode_outer("models.model_year").alias("model_year"))
     return pairs.withColumn("model_year", big("model_year"))
 
@@ -422,15 +442,15 @@ def score_join(spark, d):
 
 
 @query
-def position_years(spark, d):
-    return op.position_years(dated_profiles(spark, d), ["pid"], *YEARS).select(
+def position_years(x: Inputs) -> DataFrame:
+    return op.position_years(x.profiles, ["pid"], *YEARS).select(
         "pid", big("position_no"), big("year")
     )
 
 
 @query
-def profile_year_panel(spark, d):
-    panel = op.profile_year_panel(dated_profiles(spark, d), *YEARS)
+def profile_year_panel(x: Inputs) -> DataFrame:
+    panel = op.profile_year_panel(x.profiles, *YEARS)
     return panel.select(
         "pid",
         big("year"),
@@ -441,14 +461,14 @@ def profile_year_panel(spark, d):
 
 
 @query
-def last_known_position(spark, d):
-    rows = op.last_known_position(dated_profiles(spark, d), ["pid"], *YEARS)
+def last_known_position(x: Inputs) -> DataFrame:
+    rows = op.last_known_position(x.profiles, ["pid"], *YEARS)
     return rows.withColumn("year", big("year"))
 
 
 @query
-def year_store_rows(spark, d):
-    rows = op.year_store_rows(pruned(spark, d), start_year=START_YEAR, end_year=END_YEAR)
+def year_store_rows(x: Inputs) -> DataFrame:
+    rows = op.year_store_rows(x.pruned, start_year=START_YEAR, end_year=END_YEAR)
     return rows.withColumn("year", big("year")).withColumn("rel_experience", big("rel_experience"))
 
 
@@ -456,76 +476,74 @@ def year_store_rows(spark, d):
 
 
 @query
-def tag_industries(spark, d):
-    tags = op.explode_skill_tags(tables.profiles(spark, d))
+def tag_industries(x: Inputs) -> DataFrame:
+    tags = op.explode_skill_tags(x.profiles)
     return op.tag_industries(tags).select("tag", joined("industries"))
 
 
 @query
-def tag_row_sectors(spark, d):
-    rows = op.tag_row_sectors(tag_lists(spark, d), sector_lookup(spark, d), ["batch"])
+def tag_row_sectors(x: Inputs) -> DataFrame:
+    rows = op.tag_row_sectors(x.tag_lists(x.profiles), x.sector_lookup, ["batch"])
     return rows.withColumn("batch", big("batch"))
 
 
 @query
-def top_sector_per_tag(spark, d):
-    return op.top_sector_per_tag(tag_counts(spark, d))
+def top_sector_per_tag(x: Inputs) -> DataFrame:
+    return op.top_sector_per_tag(x.tag_counts(x.profiles))
 
 
 @query
-def top_tags_per_sector(spark, d):
-    return op.top_tags_per_sector(tag_counts(spark, d)).select("sector", joined("tags"))
+def top_tags_per_sector(x: Inputs) -> DataFrame:
+    return op.top_tags_per_sector(x.tag_counts(x.profiles)).select("sector", joined("tags"))
 
 
 @query
-def dominant_skill_sector(spark, d):
-    tag_sector = op.top_sector_per_tag(tag_counts(spark, d))
-    return op.dominant_skill_sector(tables.profiles(spark, d), tag_sector)
+def dominant_skill_sector(x: Inputs) -> DataFrame:
+    return op.dominant_skill_sector(x.profile_table, x.tag_sector)
 
 
 @query
-def position_year_counts(spark, d):
-    counts = op.position_year_counts(tables.profiles(spark, d), *YEARS)
+def position_year_counts(x: Inputs) -> DataFrame:
+    counts = op.position_year_counts(x.profiles, *YEARS)
     return counts.withColumn("year", big("year"))
 
 
 @query
-def sector_country_active(spark, d):
-    return headcount_report(pruned(spark, d), place_table(spark, d), TEST_YEAR, *YEARS)
+def sector_country_active(x: Inputs) -> DataFrame:
+    return headcount_report(x.pruned, x.places, TEST_YEAR, *YEARS)
 
 
 @query
-def sector_country_span(spark, d):
-    rows = op.year_store_rows(pruned(spark, d), start_year=START_YEAR, end_year=END_YEAR)
-    return op.sector_country_span(rows, place_table(spark, d), TEST_YEAR)
+def sector_country_span(x: Inputs) -> DataFrame:
+    rows = op.year_store_rows(x.pruned, start_year=START_YEAR, end_year=END_YEAR)
+    return op.sector_country_span(rows, x.places, TEST_YEAR)
 
 
 @query
-def token_frequency(spark, d):
-    return op.token_frequency(tables.table(spark, d, "documents"), "text")
+def token_frequency(x: Inputs) -> DataFrame:
+    return op.token_frequency(x.table("documents"), "text")
 
 
 @query
-def line_count(spark, d):
-    return op.line_count(op.text_lines(tables.table(spark, d, "documents"), "text"))
+def line_count(x: Inputs) -> DataFrame:
+    return op.line_count(op.text_lines(x.table("documents"), "text"))
 
 
 @query
-def null_sector_count(spark, d):
-    dated = assigned(spark, d).withColumn("positions", cf.normalize_positions(F.col("positions")))
-    return op.null_sector_count(dated, "sector", *YEARS)
+def null_sector_count(x: Inputs) -> DataFrame:
+    return op.null_sector_count(x.assigned, "sector", *YEARS)
 
 
 @query
-def year_store_row_count(spark, d):
+def year_store_row_count(x: Inputs) -> DataFrame:
     return op.year_store_row_count(
-        op.year_store_rows(dated_profiles(spark, d), start_year=START_YEAR, end_year=END_YEAR)
+        op.year_store_rows(x.profiles, start_year=START_YEAR, end_year=END_YEAR)
     )
 
 
 @query
-def sector_year_order(spark, d):
-    panel = op.profile_year_panel(pruned(spark, d), *YEARS, position_fields=())
+def sector_year_order(x: Inputs) -> DataFrame:
+    panel = op.profile_year_panel(x.pruned, *YEARS, position_fields=())
     ordered = op.sector_year_order(panel, "pid", "sector")
     return ordered.select("pid", "sector", big("year"), big("group_no"))
 
@@ -534,59 +552,58 @@ def sector_year_order(spark, d):
 
 
 @query
-def label_multi_position(spark, d):
-    panel = op.profile_year_panel(dated_profiles(spark, d), *YEARS, position_fields=())
+def label_multi_position(x: Inputs) -> DataFrame:
+    panel = op.profile_year_panel(x.profiles, *YEARS, position_fields=())
     return op.label_multi_position(panel).select("pid", big("year"), "label")
 
 
 @query
-def feature_rows(spark, d):
-    rows = features(spark, d)
+def feature_rows(x: Inputs) -> DataFrame:
+    rows = x.features
     return rows.select(
         "pid", "sector", big("year"), big("connections"), big("experience"), *[big(t) for t in TAGS], "label"
     )
 
 
 @query
-def split_by_year(spark, d):
-    panel = op.profile_year_panel(dated_profiles(spark, d), *YEARS, position_fields=())
+def split_by_year(x: Inputs) -> DataFrame:
+    panel = op.profile_year_panel(x.profiles, *YEARS, position_fields=())
     train, test = op.split_by_year(panel, TEST_YEAR)
     both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
     return both.groupBy("part", big("year")).agg(F.count("*").alias("n_rows"))
 
 
 @query
-def train_sector_year_nb(spark, d):
-    train, _ = op.split_by_year(features(spark, d), TEST_YEAR)
-    return model_columns(op.train_sector_year_nb(train))
+def train_sector_year_nb(x: Inputs) -> DataFrame:
+    return model_columns(x.models)
 
 
 @query
-def score_nb(spark, d):
-    scored = op.score_nb(*test_rows_and_models(spark, d))
+def score_nb(x: Inputs) -> DataFrame:
+    scored = op.score_nb(*x.test_rows_and_models)
     return scored.select("pid", big("model_year"), "predicted")
 
 
 @query
-def vote(spark, d):
-    return predictions(spark, d).select("pid", "sector", big("votes"), "predicted")
+def vote(x: Inputs) -> DataFrame:
+    return x.predictions.select("pid", "sector", big("votes"), "predicted")
 
 
 @query
-def confusion_counts(spark, d):
-    return op.confusion_counts(predictions(spark, d))
+def confusion_counts(x: Inputs) -> DataFrame:
+    return op.confusion_counts(x.predictions)
 
 
 @query
-def sector_prediction_summary(spark, d):
-    return op.sector_prediction_summary(predictions(spark, d))
+def sector_prediction_summary(x: Inputs) -> DataFrame:
+    return op.sector_prediction_summary(x.predictions)
 
 
 @query
-def predict_end_to_end(spark, d):
+def predict_end_to_end(x: Inputs) -> DataFrame:
     return evaluate_held_out_year(
-        tables.profiles(spark, d),
-        sector_lookup(spark, d),
+        x.profile_table,
+        x.sector_lookup,
         start_year=START_YEAR,
         end_year=END_YEAR,
         test_year=TEST_YEAR,
