@@ -63,23 +63,17 @@ def profile_year_panel(
     The span runs from the earliest start to the latest end of the dated
     positions. Each row has ``year``, ``relevant_experience`` (years since the
     span began) and, as ``positions``, those active that year. Everything
-    happens inside the row, so nothing is shuffled.
+    happens inside the row, so nothing is shuffled. With few
+    ``position_fields`` the other text of positions is not even read.
     """
     kept = [c for c in profiles.columns if c not in ("positions", "relevant_experience")]
     dated = dated_positions("positions", start_year, end_year, position_fields)
+    years = F.posexplode(span_years(F.col("_dated"))).alias("relevant_experience", "year")
+    active = active_positions(F.col("_dated"), F.col("year")).alias("positions")
     return (
         profiles.select(*kept, dated.alias("_dated"))
-        .select(
-            *kept,
-            "_dated",
-            F.posexplode(span_years(F.col("_dated"))).alias("relevant_experience", "year"),
-        )
-        .select(
-            *kept,
-            "year",
-            "relevant_experience",
-            active_positions(F.col("_dated"), F.col("year")).alias("positions"),
-        )
+        .select(*kept, "_dated", years)
+        .select(*kept, "year", "relevant_experience", active)
     )
 
 
@@ -162,11 +156,11 @@ def null_sector_count(
     Taken from the length of each profile's span; the panel is not unfolded and
     no distinct count is needed.
     """
-    years = span_years(F.col("_dated"))
+    dated = dated_positions("positions", start_year, end_year, ())
     return (
         profiles.filter(missing_sector(F.col(sector_col)))
-        .select(dated_positions("positions", start_year, end_year, ()).alias("_dated"))
-        .select(F.size(years).alias("_years"))
+        .select(dated.alias("_dated"))
+        .select(F.size(span_years(F.col("_dated"))).alias("_years"))
         .filter(F.col("_years") > 0)
         .agg(
             F.coalesce(F.sum("_years"), F.lit(0)).alias("n_rows"),

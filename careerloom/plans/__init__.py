@@ -4,6 +4,7 @@ from careerloom.plans.jobs import (
     evaluate_held_out_year,
     evidence_table,
     headcount_report,
+    learning_profiles,
     predictions_from_evidence,
     tag_tables,
 )
@@ -12,6 +13,7 @@ __all__ = [
     "evaluate_held_out_year",
     "evidence_table",
     "headcount_report",
+    "learning_profiles",
     "predictions_from_evidence",
     "tag_tables",
 ]

@@ -47,6 +47,15 @@ def tag_tables(
     return top_sector_per_tag(counts), top_tags_per_sector(counts, k)
 
 
+def learning_profiles(profiles: DataFrame) -> DataFrame:
+    """The part of each profile that learning needs; of positions, only the dates.
+
+    Narrowing first keeps the text of positions out of the scan and of all joins.
+    """
+    dates = F.arrays_zip(F.col("positions.start_date"), F.col("positions.end_date"))
+    return profiles.select("pid", "industry", "num_connections", "skills", dates.alias("positions"))
+
+
 def evidence_table(
     assigned: DataFrame,
     top_tags: DataFrame,
@@ -56,16 +65,14 @@ def evidence_table(
     k: int = TOP_K,
     normalize: bool = False,
 ) -> DataFrame:
-    """Models and test data of all sectors from one pass over the profiles.
+    """Models and test data of all sectors from one pass over the :func:`learning_profiles`.
 
     Training rows collapse to counts and moments per (sector, year, label).
     Test rows collapse to distinct feature vectors with their number, so people
     who look alike are scored once. Partial aggregation makes both small before
     anything is shuffled. The table is written, because both halves read it.
     """
-    # Rewriting whole positions is left out: only their dates are read.
-    people = require_sector(assigned).select("pid", "sector", "num_connections", "skills", "positions")
-    features = feature_columns(people, top_tags, k, normalize)
+    features = feature_columns(require_sector(assigned), top_tags, k, normalize)
     panel = profile_year_panel(features, start_year, end_year, position_fields=())
     rows = feature_rows(panel, top_tags, k)
     is_test = F.col("year") == test_year
@@ -113,7 +120,7 @@ def evaluate_held_out_year(
 ) -> DataFrame:
     """Profiles to (sector, test_size, actual_left, predict_left) for the test year."""
     tag_sector, top_tags = tag_tables(profiles, industry_sector, batch, k)
-    assigned = assign_sector(profiles, industry_sector, tag_sector)
+    assigned = assign_sector(learning_profiles(profiles), industry_sector, tag_sector)
     evidence = evidence_table(assigned, top_tags, start_year, end_year, test_year, k)
     predictions = predictions_from_evidence(evidence, test_year, k, train_before_only)
     return sector_prediction_summary(predictions, positive, weight_col="n_rows")

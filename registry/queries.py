@@ -55,12 +55,12 @@ class Inputs:
         return op.tag_sector_counts(rows)
 
     @cached_property
-    def tag_sector(self) -> DataFrame:
-        return op.top_sector_per_tag(self.tag_counts(self.profile_table))
+    def tag_tables(self) -> tuple[DataFrame, DataFrame]:
+        return jobs.tag_tables(self.profile_table, self.sector_lookup)
 
     @cached_property
     def assigned(self) -> DataFrame:
-        return op.assign_sector(self.profile_table, self.sector_lookup, self.tag_sector)
+        return op.assign_sector(self.profile_table, self.sector_lookup, self.tag_tables[0])
 
     @cached_property
     def pruned(self) -> DataFrame:
@@ -68,16 +68,16 @@ class Inputs:
 
     @cached_property
     def assigned_and_top_tags(self) -> tuple[DataFrame, DataFrame]:
-        tag_sector, top_tags = jobs.tag_tables(self.profile_table, self.sector_lookup)
-        return op.assign_sector(self.profile_table, self.sector_lookup, tag_sector), top_tags
+        tag_sector, top_tags = self.tag_tables
+        people = jobs.learning_profiles(self.profile_table)
+        return op.assign_sector(people, self.sector_lookup, tag_sector), top_tags
 
     @cached_property
     def features(self) -> DataFrame:
         assigned, top_tags = self.assigned_and_top_tags
         # Feature columns depend on the person only, so they come before the years unfold.
         people = op.feature_columns(op.require_sector(assigned), top_tags)
-        panel = op.profile_year_panel(people, *YEARS, position_fields=())
-        return op.feature_rows(panel, top_tags)
+        return op.feature_rows(op.profile_year_panel(people, *YEARS, position_fields=()), top_tags)
 
     @cached_property
     def models(self) -> DataFrame:
@@ -417,7 +417,7 @@ def assign_sector(x: Inputs) -> DataFrame:
 
 @query
 def skill_sector_join(x: Inputs) -> DataFrame:
-    rows = op.skill_sector_join(x.profile_table, x.tag_sector)
+    rows = op.skill_sector_join(x.profile_table, x.tag_tables[0])
     return rows.select("pid", big("pos"), "skill", "sector")
 
 
@@ -499,7 +499,7 @@ def top_tags_per_sector(x: Inputs) -> DataFrame:
 
 @query
 def dominant_skill_sector(x: Inputs) -> DataFrame:
-    return op.dominant_skill_sector(x.profile_table, x.tag_sector)
+    return op.dominant_skill_sector(x.profile_table, x.tag_tables[0])
 
 
 @query
@@ -531,7 +531,7 @@ def line_count(x: Inputs) -> DataFrame:
 
 @query
 def null_sector_count(x: Inputs) -> DataFrame:
-    return op.null_sector_count(x.assigned, "sector", *YEARS)
+    return op.null_sector_count(x.assigned_and_top_tags[0], "sector", *YEARS)
 
 
 @query
@@ -543,8 +543,11 @@ def year_store_row_count(x: Inputs) -> DataFrame:
 
 @query
 def sector_year_order(x: Inputs) -> DataFrame:
-    panel = op.profile_year_panel(x.pruned, *YEARS, position_fields=())
-    ordered = op.sector_year_order(panel, "pid", "sector")
+    assigned, _ = x.assigned_and_top_tags
+    panel = op.profile_year_panel(assigned.select("pid", "sector", "positions"), *YEARS, position_fields=())
+    # Ordering by ranges reads its input more than once.
+    narrow = sources.written_table(panel.select("pid", "sector", "year"))
+    ordered = op.sector_year_order(narrow)
     return ordered.select("pid", "sector", big("year"), big("group_no"))
 
 
