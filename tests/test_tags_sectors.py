@@ -1,0 +1,166 @@
+"""Tags, sectors of tags, and sectors of people."""
+
+from __future__ import annotations
+
+from conftest import rows
+from pyspark.sql import functions as F
+
+from careerloom import operators as op
+from careerloom.plans import tag_tables
+
+LOOKUP = "industry string, sector string"
+
+
+def lookup(spark, **pairs):
+    return spark.createDataFrame(list(pairs.items()), LOOKUP)
+
+
+def tag_rows(spark, *values):
+    return spark.createDataFrame(list(values), "batch int, tag string, industries array<string>")
+
+
+def test_skill_and_title_tags(spark, profiles):
+    df = profiles(
+        {"pid": 1, "industry": "Oil & Energy", "skills": ["C++", " ", "", None, "##"],
+         "positions": [{"title": "Sr. Dev"}, {"title": None}, {"title": "--"}]},
+        {"pid": 2, "industry": " ", "skills": ["x"]},
+        {"pid": 3, "industry": "&&", "skills": ["x"]},
+        {"pid": 4, "industry": None, "skills": ["x"]},
+    )
+    assert rows(op.explode_skill_tags(df, ["pid"])) == [(1, "C", "Oil  Energy")]
+    assert rows(op.explode_title_tags(df, ["pid"])) == [(1, "Sr Dev", "Oil  Energy")]
+    assert op.drop_blank(df, "industry").count() == 2
+
+
+def test_tag_industries_are_distinct_and_sorted(spark):
+    tags = spark.createDataFrame([("t", "b"), ("t", "a"), ("t", "b"), ("u", "c")], "tag string, industry string")
+    assert rows(op.tag_industries(tags)) == [("t", ["a", "b"]), ("u", ["c"])]
+    doubled = op.tag_industries(tags.union(tags))
+    assert rows(doubled) == rows(op.tag_industries(tags))
+
+
+def test_a_sector_inside_another_name_is_kept(spark):
+    known = lookup(spark, i1="INVESTMENT_BANKING", i2="BANKING")
+    got = op.tag_row_sectors(tag_rows(spark, (1, "t", ["i1", "i2"])), known, ["batch"])
+    assert rows(got) == [(1, "t", "BANKING"), (1, "t", "INVESTMENT_BANKING")]
+
+
+def test_a_tag_without_mapped_industries_is_absent(spark):
+    got = op.tag_row_sectors(tag_rows(spark, (1, "t", ["x"]), (1, "u", ["i"])), lookup(spark, i="A"), ["batch"])
+    assert rows(got) == [(1, "u", "A")]
+
+
+def test_lookup_is_cleaned_for_cleaned_tags(spark):
+    known = spark.createDataFrame([("Oil & Energy", "ENERGY"), ("Oil  Energy!", "CHEMICAL")], LOOKUP)
+    row = tag_rows(spark, (1, "t", ["Oil  Energy"]))
+    assert rows(op.tag_row_sectors(row, known, ["batch"])) == [(1, "t", "CHEMICAL")]
+    assert rows(op.tag_row_sectors(row, known, ["batch"], normalize=False)) == []
+
+
+def test_top_sector_and_top_tags_break_ties_by_name(spark):
+    counts = spark.createDataFrame(
+        [("t", "B", 2), ("t", "A", 2), ("t", "C", 1), ("u", "C", 3)]
+        + [(f"w{i}", "A", 1) for i in range(6)],
+        "tag string, sector string, n_rows long",
+    )
+    best = dict((r["tag"], (r["sector"], r["n_rows"])) for r in op.top_sector_per_tag(counts).collect())
+    assert best["t"] == ("A", 2) and best["u"] == ("C", 3)
+    tops = dict(rows(op.top_tags_per_sector(counts, 5)))
+    assert tops == {"A": ["t", "w0", "w1", "w2", "w3"], "B": ["t"], "C": ["u", "t"]}
+
+
+def test_dominant_sector_takes_the_first_to_reach_the_count(spark, profiles):
+    tag_sector = spark.createDataFrame([(s + str(i), s) for s in "AB" for i in range(4)], "tag string, sector string")
+    df = profiles(
+        {"pid": 1, "skills": ["A0", "B0", "B1", "A1"]},
+        {"pid": 2, "skills": ["A0", "A1", "B0", "B1"]},
+        {"pid": 3, "skills": ["B0", "zzz", "A0"]},
+        {"pid": 4, "skills": ["zzz"]},
+        {"pid": 5},
+        {"pid": 6, "skills": ["A0", "A0", "B1"]},
+    )
+    assert rows(op.dominant_skill_sector(df, tag_sector)) == [(1, "B"), (2, "A"), (3, "B"), (6, "A")]
+
+
+def test_assign_sector_uses_text_as_written_unless_told(spark, profiles):
+    industries = lookup(spark, **{"Oil & Energy": "ENERGY"})
+    tags = spark.createDataFrame([("C", "SOFTWARE"), ("Law", "LEGAL")], "tag string, sector string")
+    df = profiles(
+        {"pid": 1, "industry": "Oil & Energy", "skills": ["Law"]},
+        {"pid": 2, "industry": "Oil  Energy", "skills": ["C++"]},
+        {"pid": 3, "industry": None, "skills": ["C++", "Law"]},
+        {"pid": 4, "industry": "nowhere", "skills": ["Law"]},
+        {"pid": 5, "industry": None},
+    )
+    raw = op.assign_sector(df, industries, tags).select("pid", "sector")
+    assert rows(raw) == [(1, "ENERGY"), (2, None), (3, "LEGAL"), (4, "LEGAL"), (5, None)]
+    clean = op.assign_sector(df, industries, tags, normalize=True).select("pid", "sector")
+    assert rows(clean) == [(1, "ENERGY"), (2, "ENERGY"), (3, "SOFTWARE"), (4, "LEGAL"), (5, None)]
+
+
+def test_sector_filters(spark):
+    df = spark.createDataFrame([(s,) for s in ("LEGAL", "null", " ", "", None, "NEW")], "sector string")
+    assert rows(op.require_sector(df)) == [("LEGAL",), ("NEW",)]
+    assert rows(op.valid_sector(df)) == [("LEGAL",)]
+
+
+def test_prune_profile(spark, profiles):
+    df = profiles({"num_connections": "500+", "industry": "x", "positions": [("2000/1", None), (None, None)]})
+    row = op.prune_profile(df.withColumn("sector", F.lit("LEGAL"))).first()
+    assert row["industry"] == "LEGAL" and row["num_connections"] == "500"
+    assert [(p["summary"], p["start_date"]) for p in row["positions"]] == [(None, "2000-1"), ("s", None)]
+
+
+def people(profiles, n=200):
+    """Two thirds of all people share one skill and one industry."""
+    return profiles(
+        *[
+            {
+                "pid": i,
+                "batch": i % 4,
+                "industry": ["i1", "i2", None][i % 3] if i % 3 else "i1",
+                "skills": ["hot"] * (i % 3 != 2) + [f"s{i % 7}"],
+            }
+            for i in range(n)
+        ]
+    )
+
+
+def test_tag_tables_do_not_depend_on_order_or_partitions(spark, profiles):
+    known = lookup(spark, i1="LEGAL", i2="ENERGY")
+    df = people(profiles)
+    first = [rows(t) for t in tag_tables(df, known)]
+    again = [rows(t) for t in tag_tables(df.orderBy(F.rand(7)).repartition(7), known)]
+    assert first == again
+    doubled = [rows(t) for t in tag_tables(df.union(df), known)]
+    assert first == doubled  # tags are counted once per batch
+
+
+def test_common_skill_is_split_when_the_tag_table_is_large(spark, profiles):
+    """Beyond the broadcast limit the skill join shuffles, and splits the common skill."""
+    tags = spark.range(3000).selectExpr("concat('s', id) AS tag", "'LEGAL' AS sector").union(
+        spark.createDataFrame([("hot", "ENERGY")], "tag string, sector string")
+    )
+    df = spark.range(60000).selectExpr(
+        "id AS pid", "array(IF(id % 3 = 0, 's1', 'hot'), concat('s', id % 3000)) AS skills"
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = op.skill_sector_join(df.repartition(8), tags)
+        assert joined.count() == 120000
+        checked = joined.groupBy("sector").count()
+        assert rows(checked) == [("ENERGY", 40000), ("LEGAL", 80000)]
+        joined = op.skill_sector_join(df.repartition(8), tags)
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
