@@ -1,0 +1,91 @@
+"""All jobs in a row, from JSON text to reports, against the same work on DataFrames."""
+
+from __future__ import annotations
+
+from conftest import rows
+from pyspark.sql import functions as F
+
+from careerloom import operators as op
+from careerloom import plans, sources
+
+YEARS = {"start_year": 1996, "end_year": 2001}
+SECTORS = "Oil & Energy,OLD\nOil & Energy,ENERGY\nLaw,LEGAL\n"
+PLACES = "France,Ile,Paris\nItaly,Lazio,Rome\n"
+
+
+def people(profiles):
+    return profiles(
+        *[
+            {
+                "pid": i,
+                "first_name": f"P{i:03d}",
+                "industry": ["Oil & Energy", "Law", None, "Other"][i % 4],
+                "skills": [f"s{i % 5}", f"s{i % 3}", "C++"],
+                "location": ["Greater Paris Area", "Rome", None, "Nowhere"][i % 4 - i % 2],
+                "num_connections": f"{(i * 37) % 500}+",
+                "positions": [
+                    (str(1996 + i % 5), str(1998 + i % 4)), (str(1998 + i % 3), None), ("2000/1", "2000-5"),
+                ][: i % 4],
+            }
+            for i in range(120)
+        ]
+    )
+
+
+def test_jobs(spark, profiles, tmp_path):
+    def at(name):
+        return str(tmp_path / name)
+
+    df = people(profiles)
+    (tmp_path / "sectors.csv").write_text(SECTORS)
+    (tmp_path / "places.csv").write_text(PLACES)
+    arrays = sources.profile_json_lines(df, ["pid"]).groupBy((F.col("pid") / 3).cast("int")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]")).alias("value")
+    )
+    arrays.select("value").union(spark.createDataFrame([("[{broken",), ("",), ("null",)], "value string")).write.text(
+        at("raw")
+    )
+
+    assert plans.tag_industry_files(spark, at("raw"), at("tags")) is None
+    assert rows(spark.read.text(at("tags"))) == rows(
+        sources.key_list_lines(op.tag_industries(op.explode_skill_tags(df)), "tag", "industries")
+    )
+    counted = plans.tag_industry_files(spark, at("raw"), at("titles"), titles=True, **YEARS)
+    assert rows(counted) == rows(op.position_year_counts(df, **YEARS))
+    assert {r[0].split(",")[0] for r in rows(spark.read.text(at("titles")))} == {"t", "C", "s0", "s1", "s2", "s3", "s4"}
+
+    plans.tag_sector_files(spark, at("tags"), at("sectors.csv"), at("job2"))
+    missing = plans.data_model_files(
+        spark, at("raw"), at("sectors.csv"), at("job2/tagsector"), at("job2/toptags"), at("job3"), **YEARS, test_year=2000
+    )
+    assert missing.first()["n_profiles"] == 0  # every profile has a skill with a sector
+    assert spark.read.text(at("job3/pruneddata")).count() == 120
+
+    confusion = plans.predictor_files(spark, at("job3/testdata"), at("job3/models"), at("job2/toptags"), at("job4"))
+    lookup = sources.lookup_pairs(sources.read_lines(spark, at("sectors.csv")), "industry", "sector")
+    expected = plans.evaluate_held_out_year(df, lookup, batch=(), **YEARS, test_year=2000)
+    assert rows(spark.read.text(at("job4"))) == [(",".join(str(v) for v in r),) for r in rows(expected)]
+    totals = expected.agg(F.sum("actual_left"), F.sum("predict_left")).first()
+    cells = confusion.first().asDict()
+    assert totals[0] == cells["true_positive"] + cells["false_negative"]
+    assert totals[1] == cells["true_positive"] + cells["false_positive"] > 0
+
+    plans.headcount_files(spark, at("job3/pruneddata"), at("places.csv"), 1999, at("job5"), **YEARS)
+    loaded = plans.year_store_files(spark, at("job3/pruneddata"), at("store"), **YEARS)
+    assert loaded.first()["n_rows"] == spark.read.parquet(at("store")).count()
+    plans.year_store_headcount_files(spark, at("store"), at("places.csv"), 1999, at("job6"))
+
+    def cells_of(path):
+        return {tuple(r[0].split(",")[:2]): int(r[0].split(",")[2]) for r in rows(spark.read.text(path))}
+
+    active, span = cells_of(at("job5")), cells_of(at("job6"))
+    assert active and set(active) <= set(span) and all(active[c] <= span[c] for c in active)
+
+
+def test_word_count_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a").write_text("b a\n\na  b b\n")
+    (tmp_path / "in" / "c").write_text("c")
+    lines = plans.word_count_files(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert lines.first()["n_lines"] == 4
+    assert [r[0] for r in spark.read.text(str(tmp_path / "out")).collect()] == ["b : 3", "a : 2", "c : 1"]
