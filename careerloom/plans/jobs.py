@@ -47,13 +47,15 @@ def tag_tables(
     return top_sector_per_tag(counts), top_tags_per_sector(counts, k)
 
 
-def learning_profiles(profiles: DataFrame) -> DataFrame:
+def learning_profiles(profiles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The part of each profile that learning needs; of positions, only the dates.
 
     Narrowing first keeps the text of positions out of the scan and of all joins.
     """
     dates = F.arrays_zip(F.col("positions.start_date"), F.col("positions.end_date"))
-    return profiles.select("pid", "industry", "num_connections", "skills", dates.alias("positions"))
+    return profiles.select(
+        "pid", *keep, "industry", "num_connections", "skills", dates.alias("positions")
+    )
 
 
 def evidence_table(

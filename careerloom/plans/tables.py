@@ -7,10 +7,13 @@ are bounded by the keys, and repeated copies of a row count once.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from careerloom.schema import POSITION_COLUMNS
 from careerloom.sources import profile_json_lines
 
 # Years of the derived data, and the market segments.
@@ -98,10 +101,15 @@ def _lists(rows: DataFrame, column: str, fields: list[str]) -> DataFrame:
     return rows.groupBy("pid").agg(entries.alias(column))
 
 
-def profiles(spark: SparkSession, folder: str) -> DataFrame:
-    """Nested profiles, one row per person."""
-    position_fields = ["summary", "title", "start_date", "end_date", "is_current", "company_name"]
-    positions = _lists(position_rows(spark, folder), "_positions", position_fields)
+def profiles(
+    spark: SparkSession, folder: str, position_fields: Sequence[str] = POSITION_COLUMNS
+) -> DataFrame:
+    """Nested profiles, one row per person.
+
+    Lists are gathered with only the ``position_fields`` asked for, so a job
+    that needs dates does not shuffle the text.
+    """
+    positions = _lists(position_rows(spark, folder), "_positions", list(position_fields))
     skills = _lists(skill_rows(spark, folder), "_skills", ["skill"])
     listed = people(spark, folder).join(skills, "pid", "left").join(positions, "pid", "left")
     return listed.select(

@@ -54,29 +54,31 @@ class Inputs:
         rows = op.tag_row_sectors(self.tag_lists(profiles), self.sector_lookup, ["batch"])
         return op.tag_sector_counts(rows)
 
+    @cached_property
+    def learning_table(self) -> DataFrame:
+        """The part of the profiles that sectors and learning need, as a written table."""
+        dated = tables.profiles(self.spark, self.folder, ["start_date", "end_date"])
+        return sources.written_table(jobs.learning_profiles(dated, keep=["batch"]))
+
     @cached_property
     def tag_tables(self) -> tuple[DataFrame, DataFrame]:
-        return jobs.tag_tables(self.profile_table, self.sector_lookup)
+        return jobs.tag_tables(self.learning_table, self.sector_lookup)
 
     @cached_property
     def assigned(self) -> DataFrame:
-        return op.assign_sector(self.profile_table, self.sector_lookup, self.tag_tables[0])
+        return op.assign_sector(self.learning_table, self.sector_lookup, self.tag_tables[0])
 
     @cached_property
     def pruned(self) -> DataFrame:
-        return op.prune_profile(self.assigned)
-
-    @cached_property
-    def assigned_and_top_tags(self) -> tuple[DataFrame, DataFrame]:
-        tag_sector, top_tags = self.tag_tables
-        people = jobs.learning_profiles(self.profile_table)
-        return op.assign_sector(people, self.sector_lookup, tag_sector), top_tags
+        profiles = self.profile_table
+        tag_sector, _ = jobs.tag_tables(profiles, self.sector_lookup)
+        return op.prune_profile(op.assign_sector(profiles, self.sector_lookup, tag_sector))
 
     @cached_property
     def features(self) -> DataFrame:
-        assigned, top_tags = self.assigned_and_top_tags
+        _, top_tags = self.tag_tables
         # Feature columns depend on the person only, so they come before the years unfold.
-        people = op.feature_columns(op.require_sector(assigned), top_tags)
+        people = op.feature_columns(op.require_sector(self.assigned), top_tags)
         return op.feature_rows(op.profile_year_panel(people, *YEARS, position_fields=()), top_tags)
 
     @cached_property
@@ -417,7 +419,7 @@ def assign_sector(x: Inputs) -> DataFrame:
 
 @query
 def skill_sector_join(x: Inputs) -> DataFrame:
-    rows = op.skill_sector_join(x.profile_table, x.tag_tables[0])
+    rows = op.skill_sector_join(x.learning_table, x.tag_tables[0])
     return rows.select("pid", big("pos"), "skill", "sector")
 
 
@@ -428,7 +430,7 @@ def resolve_country(x: Inputs) -> DataFrame:
 
 @query
 def attach_top_tags(x: Inputs) -> DataFrame:
-    return op.attach_top_tags(*x.assigned_and_top_tags).select("pid", "sector", joined("tags"))
+    return op.attach_top_tags(x.assigned, x.tag_tables[1]).select("pid", "sector", joined("tags"))
 
 
 @query
@@ -499,7 +501,7 @@ def top_tags_per_sector(x: Inputs) -> DataFrame:
 
 @query
 def dominant_skill_sector(x: Inputs) -> DataFrame:
-    return op.dominant_skill_sector(x.profile_table, x.tag_tables[0])
+    return op.dominant_skill_sector(x.learning_table, x.tag_tables[0])
 
 
 @query
@@ -531,7 +533,7 @@ def line_count(x: Inputs) -> DataFrame:
 
 @query
 def null_sector_count(x: Inputs) -> DataFrame:
-    return op.null_sector_count(x.assigned_and_top_tags[0], "sector", *YEARS)
+    return op.null_sector_count(x.assigned, "sector", *YEARS)
 
 
 @query
@@ -543,8 +545,7 @@ def year_store_row_count(x: Inputs) -> DataFrame:
 
 @query
 def sector_year_order(x: Inputs) -> DataFrame:
-    assigned, _ = x.assigned_and_top_tags
-    panel = op.profile_year_panel(assigned.select("pid", "sector", "positions"), *YEARS, position_fields=())
+    panel = op.profile_year_panel(x.assigned.select("pid", "sector", "positions"), *YEARS, position_fields=())
     # Ordering by ranges reads its input more than once.
     narrow = sources.written_table(panel.select("pid", "sector", "year"))
     ordered = op.sector_year_order(narrow)
@@ -605,7 +606,7 @@ def sector_prediction_summary(x: Inputs) -> DataFrame:
 @query
 def predict_end_to_end(x: Inputs) -> DataFrame:
     return evaluate_held_out_year(
-        x.profile_table,
+        x.learning_table,
         x.sector_lookup,
         start_year=START_YEAR,
         end_year=END_YEAR,
