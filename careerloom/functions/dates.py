@@ -16,13 +16,16 @@ from careerloom.schema import END_YEAR, POSITION_COLUMNS, START_YEAR
 
 # A year has one to four significant digits. Longer numbers ("20120601") are
 # bad dates, not years: they would otherwise unfold into millions of rows.
-_YEAR = r"^[+-]?0*[0-9]{1,4}$"
+_YEAR = r"^([+]?0*[0-9]{1,4})(?:%s|\z)"
+
+
+def _leading_year(date: Column, delimiter: str) -> Column:
+    return F.regexp_extract(date, _YEAR % delimiter, 1).try_cast("int")
 
 
 def date_year(date: Column) -> Column:
     """Year in front of the first '-'; null when that text is not a year."""
-    head = F.substring_index(date, "-", 1)
-    return F.when(head.rlike(_YEAR), head.try_cast("int"))
+    return _leading_year(date, "-")
 
 
 def normalize_date(date: Column) -> Column:
@@ -39,11 +42,10 @@ def position_interval(
     The current flag plays no part and the end is not clamped. Dates may still
     be written with '/'.
     """
-    start = date_year(normalize_date(position["start_date"]))
-    end = position["end_date"]
+    start, end = _leading_year(position["start_date"], "[-/]"), position["end_date"]
     return F.struct(
-        F.when(start.isNotNull(), F.greatest(start, F.lit(start_year))).alias("from_year"),
-        F.when(end.isNull(), F.lit(end_year)).otherwise(date_year(normalize_date(end))).alias("to_year"),
+        F.when(start < start_year, F.lit(start_year)).otherwise(start).alias("from_year"),
+        F.when(end.isNull(), F.lit(end_year)).otherwise(_leading_year(end, "[-/]")).alias("to_year"),
     )
 
 
@@ -57,7 +59,7 @@ def position_interval_current(
     """
     start = date_year(position["start_date"])
     return F.struct(
-        F.when(start.isNotNull(), F.greatest(start, F.lit(start_year))).alias("from_year"),
+        F.when(start < start_year, F.lit(start_year)).otherwise(start).alias("from_year"),
         F.when(F.coalesce(position["is_current"], F.lit(False)), F.lit(end_year))
         .otherwise(date_year(position["end_date"]))
         .alias("to_year"),
@@ -152,7 +154,7 @@ def has_bad_year(positions: Column) -> Column:
         positions,
         lambda p: p["start_date"].isNotNull()
         & (
-            date_year(normalize_date(p["start_date"])).isNull()
-            | (p["end_date"].isNotNull() & date_year(normalize_date(p["end_date"])).isNull())
+            _leading_year(p["start_date"], "[-/]").isNull()
+            | (p["end_date"].isNotNull() & _leading_year(p["end_date"], "[-/]").isNull())
         ),
     )
