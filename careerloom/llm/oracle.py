@@ -15,3 +15,32 @@ SELECT doc_id,
        sha256(t) AS text_sha256
 FROM d
 """
+
+WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+SQL["op7_minhash_near_dedup"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {WORDS.format(NORMAL)} AS w FROM documents),
+s AS (
+    SELECT doc_id, unnest(CASE
+        WHEN len(w) >= 4 THEN list_distinct([array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)])
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')]
+        ELSE [] END) AS shingle
+    FROM d
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k
+    FROM s AS x JOIN s AS y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+    GROUP BY x.doc_id, y.doc_id
+),
+links AS (
+    SELECT a, b FROM shared JOIN n AS na ON na.doc_id = a JOIN n AS nb ON nb.doc_id = b
+    WHERE 100 * k >= 80 * (na.n + nb.n - k)
+),
+reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least_ AS (SELECT a, min(b) AS low FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles,
+       least(d.doc_id, coalesce(low, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(low, d.doc_id)) AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least_ ON least_.a = d.doc_id
+"""

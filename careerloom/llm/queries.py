@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careerloom.llm import exact_dedup, language_id
+from careerloom.llm import exact_dedup, language_id, minhash
 from careerloom.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,13 @@ def query(fn):
     return fn
 
 
+@query
+def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_groups(table(spark, folder, "documents")).select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept"
+    )
+
+
 @query
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
