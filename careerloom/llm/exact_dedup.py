@@ -42,6 +42,8 @@ def digest_state(entries: DataFrame, path: str) -> DataFrame:
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "128")
+    # Many small stores would each claim megabytes of disk ahead of need.
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     stream = session.readStream.schema(entries.schema).option("maxBytesPerTrigger", str(BATCH_BYTES)).parquet(path)
     state = stream.groupBy("digest").agg(
@@ -60,9 +62,12 @@ def digest_state(entries: DataFrame, path: str) -> DataFrame:
         return spark.createDataFrame([], entries.groupBy("digest").agg(
             F.count("*").alias("group_size"), F.max(F.struct("id", "at_file", "at_row")).alias("keep")
         ).schema)
-    stored = spark.read.format("statestore").load(checkpoint)
+    stored = session.read.format("statestore").load(checkpoint)
     count, keep = (F.col("value").getField(f.name) for f in stored.schema["value"].dataType.fields)
-    return stored.select(F.col("key")["digest"].alias("digest"), count.alias("group_size"), keep.alias("keep"))
+    stored = stored.select(F.col("key")["digest"].alias("digest"), count.alias("group_size"), keep.alias("keep"))
+    groups = shared_folder(spark, "dedup-groups")
+    stored.write.option("compression", "zstd").parquet(groups)
+    return spark.read.schema(stored.schema).parquet(groups)
 
 
 def exact_dedup(
@@ -85,7 +90,7 @@ def exact_dedup(
     path = shared_folder(spark, "dedup-entries")
     entries.write.option("compression", "zstd").parquet(path)
     entries = spark.read.schema(entries.schema).parquet(path)
-    groups = written(digest_state(entries, path), "dedup-groups")
+    groups = digest_state(entries, path)
 
     # Full bytes of every hit against the content that is kept.
     hits = written(
