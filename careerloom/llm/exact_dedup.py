@@ -98,9 +98,8 @@ def exact_dedup(
     )
     place = F.struct("id", "at_file", "at_row")
     kept = hits.filter(place == F.col("keep")).select("digest", F.col("text").alias("kept_text"))
-    differ = written(
-        hits.join(kept, "digest").filter("text != kept_text").select("digest").distinct(), "dedup-differ"
-    )
+    # Written before they are made distinct, so that Spark can split the join of a large group.
+    differ = written(hits.join(kept, "digest").filter("text != kept_text").select("digest"), "dedup-differ").distinct()
     split = not differ.isEmpty()
     if split:
         groups = groups.join(differ, "digest", "left_anti")
