@@ -44,3 +44,26 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles,
        d.doc_id = least(d.doc_id, coalesce(low, d.doc_id)) AS kept
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least_ ON least_.a = d.doc_id
 """
+
+SQL["op1_benchmark_decontamination"] = f"""
+WITH i AS (SELECT item_id, {WORDS.format(NORMAL)} AS w FROM benchmark),
+item AS (
+    SELECT item_id, least(len(w), 5) AS width, unnest(list_distinct(
+        [array_to_string(w[k:k + least(len(w), 5) - 1], ' ') FOR k IN range(1, len(w) - least(len(w), 5) + 2)]
+    )) AS shingle
+    FROM i WHERE len(w) > 0
+),
+size AS (SELECT item_id, count(*) AS n_item FROM item GROUP BY item_id),
+d AS (SELECT doc_id, {WORDS.format(NORMAL)} AS w FROM documents),
+doc AS (
+    SELECT DISTINCT doc_id, width, unnest(
+        [array_to_string(w[k:k + width - 1], ' ') FOR k IN range(1, len(w) - width + 2)]
+    ) AS shingle
+    FROM d, (SELECT DISTINCT width FROM item)
+    WHERE len(w) >= width
+)
+SELECT doc_id, item_id, count(*) AS n_shared, n_item, count(*) / n_item AS containment
+FROM doc JOIN item USING (width, shingle) JOIN size USING (item_id)
+GROUP BY doc_id, item_id, n_item
+HAVING 100 * count(*) >= 80 * n_item
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careerloom.llm import exact_dedup, language_id, minhash
+from careerloom.llm import decontaminate, exact_dedup, language_id, minhash, packing
 from careerloom.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,12 @@ def query(fn):
     return fn
 
 
+@query
+def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 @query
 def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_groups(table(spark, folder, "documents")).select(
@@ -43,3 +49,15 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents")).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256")
     )
+
+
+def public_tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack(table(spark, folder, "documents"), public_tokenizer("byte_bpe_50k.json"))
+    return packed.withColumnRenamed("id", "doc_id")
