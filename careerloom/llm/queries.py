@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careerloom.llm import decontaminate, exact_dedup, language_id, minhash, packing
+from careerloom.llm import decontaminate, exact_dedup, language_id, minhash, packing, sharding, warc
 from careerloom.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,34 @@ def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return found.withColumnRenamed("id", "doc_id")
 
 
+@query
+def op2_histogram_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard(table(spark, folder, "documents"), 40).select(
+        F.col("id").alias("doc_id"),
+        "size",
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    archive = warc.warc_folder(spark)
+    manifest = warc.write_warc(pages, archive, range_bytes=16 << 20, roll_bytes=4 << 20)
+    kind = pages.schema["page_id"].dataType
+    return warc.read_warc(manifest, archive).select(
+        F.col("id").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
 @query
 def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_groups(table(spark, folder, "documents")).select(
