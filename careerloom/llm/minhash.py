@@ -13,6 +13,7 @@ agree often enough, the best pair of two components first.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from careerloom.llm.common import hashed, shingles, word_hashes, words, written
+from careerloom.llm.common import word_hashes, written
 from careerloom.llm.components import connected_components
 
 BANDS, ROWS = 32, 4
@@ -28,14 +29,16 @@ HASHES = BANDS * ROWS
 WIDTH = 4
 #: Percent of the union that the intersection of two linked documents holds at least.
 SIMILARITY = 80
-#: Minima in which two linked nodes agree at least: six standard deviations below 80 percent.
-AGREEMENT = 75
+#: Minima in which two linked nodes agree at least: five standard deviations below 80 percent.
+AGREEMENT = 80
 #: A bucket of more members is compared in blocks of about this many.
 BLOCK = 2048
-#: Rounds with one leader in each bucket that holds several components.
-LEADER_ROUNDS = 3
-#: Buckets of at most so many components need no further leader.
-FEW = 32
+#: Rounds with one leader for each bucket that holds several components; the later ones only for buckets of more
+#: members than MANY.
+LEADER_ROUNDS = 4
+MANY = 1024
+#: Pairs of two components in a bucket that are verified at first.
+BEST = 16
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 FACTORS = _RANDOM.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -77,26 +80,31 @@ def band_hashes(signatures: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def runs_of_rows(batch: pa.RecordBatch, width: int) -> Iterator[tuple[bytes, np.ndarray | None]]:
+    """Of each row of a batch with word hashes: a key of the word sequence, and the shingle hashes (None without words)."""
+    lists = batch.column("hashes")
+    ends = lists.offsets.to_numpy().tolist()
+    flat = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
+    for start, end in zip(ends, ends[1:], strict=False):
+        word = flat[start:end]
+        yield hashlib.md5(word.tobytes()).digest(), shingle_hashes(word, width) if len(word) else None
+
+
 def signer(width: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("hashes")
-            ends = lists.offsets.to_numpy()
-            flat = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
-            sizes = np.zeros(len(batch), np.int64)
+            keys, sizes = [], np.zeros(len(batch), np.int64)
             signatures = np.zeros((len(batch), HASHES), np.uint32)
-            for i in range(len(batch)):
-                if ends[i + 1] > ends[i]:
-                    runs = shingle_hashes(flat[ends[i] : ends[i + 1]], width)
-                    sizes[i] = len(runs)
-                    signatures[i] = minima(runs)
-            low = np.ascontiguousarray(signatures.astype(np.uint8))
+            for i, (key, runs) in enumerate(runs_of_rows(batch, width)):
+                keys.append(key)
+                if runs is not None:
+                    sizes[i], signatures[i] = len(runs), minima(runs)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
-                    batch.column("key"),
+                    pa.array(keys, pa.binary()),
                     pa.array(sizes),
-                    pa.array([r.tobytes() for r in low], pa.binary()),
+                    pa.array([r.tobytes() for r in signatures.astype(np.uint8)], pa.binary()),
                     pa.FixedSizeListArray.from_arrays(pa.array(band_hashes(signatures).ravel()), BANDS).cast(
                         pa.list_(pa.int64())
                     ),
@@ -107,6 +115,27 @@ def signer(width: int):
     return sign
 
 
+def set_maker(width: int):
+    """(node, shingles) of rows whose text is the one of their node."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, sets = [], []
+            rows = zip(batch.column("node").to_pylist(), batch.column("key").to_pylist(), runs_of_rows(batch, width), strict=True)
+            for node, key, (own, runs) in rows:
+                if own == key:
+                    nodes.append(node)
+                    sets.append(runs.view(np.int64))
+            ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+            flat = np.concatenate(sets) if sets else np.array([], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                names=["node", "shingles"],
+            )
+
+    return make
+
+
 def agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose signatures agree often enough."""
     for batch in batches:
@@ -126,39 +155,46 @@ def closest(best: int):
     """
 
     def find(table: pa.Table) -> pa.Table:
-        node, part, side = (table.column(c).to_numpy() for c in ("node", "component", "side"))
-        size = table.column("n_shingles").to_numpy()
+        node, part, side, size = (table.column(c).to_numpy() for c in ("node", "component", "side", "n_shingles"))
         signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, HASHES)
-        split = side.max() > 0
-        found = []
+        split, place = side.max() > 0, np.arange(len(node))
+        kept, cut, waiting = empty_pairs(), False, []
+
+        def rest(found: list[np.ndarray]) -> tuple[np.ndarray, bool]:
+            """The best pairs of each two components."""
+            i, j, same = np.concatenate(found, axis=1)
+            low, high = np.minimum(part[i], part[j]), np.maximum(part[i], part[j])
+            order = np.lexsort((j, i, -same, high, low))
+            low, high = low[order], high[order]
+            first = np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])])[: len(order)]
+            start = np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
+            good = np.arange(len(order)) - start < best
+            return np.stack([i, j, same])[:, order[good]], not good.all()
+
         for i in range(len(node)):
-            rest = (part != part[i]) & ((side > side[i]) if split else (np.arange(len(node)) > i))
-            rest &= 100 * np.minimum(size, size[i]) >= SIMILARITY * np.maximum(size, size[i])
-            rest = np.flatnonzero(rest)
-            same = (signature[rest] == signature[i]).sum(axis=1)
+            j = np.flatnonzero(
+                (part != part[i])
+                & ((side > side[i]) if split else (place > i))
+                & (100 * np.minimum(size, size[i]) >= SIMILARITY * np.maximum(size, size[i]))
+            )
+            same = (signature[j] == signature[i]).sum(axis=1)
             good = same >= AGREEMENT
-            found += [
-                (min(part[i], part[j]), max(part[i], part[j]), -s, min(node[i], node[j]), max(node[i], node[j]))
-                for j, s in zip(rest[good], same[good], strict=True)
-            ]
-        found.sort()
-        a, b, more, before, rank = [], [], [], None, 0
-        for x in found:
-            rank = rank + 1 if x[:2] == before else 0
-            before = x[:2]
-            if rank < best:
-                a.append(x[3])
-                b.append(x[4])
-                more.append(False)
-            elif rank == best:
-                more[-1] = True
+            waiting.append(np.stack([np.full(good.sum(), i), j[good], same[good]]))
+            if i % 256 == 255 or i == len(node) - 1:
+                kept, more = rest([kept, *waiting])
+                cut, waiting = cut or more, []
+        a, b = node[kept[0]], node[kept[1]]
         return pa.table(
-            {"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "more": pa.array(more, pa.bool_())}
+            {"a": np.minimum(a, b), "b": np.maximum(a, b), "more": pa.array([cut] * len(a), pa.bool_())}
         )
 
     return find
 
 
+def empty_pairs() -> np.ndarray:
+    return np.zeros((3, 0), np.int64)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that are linked: the exact similarity of their whole shingle sets."""
     a, b = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"shingles_{c}")) for c in "ab")
@@ -189,14 +225,12 @@ def near_groups(
     without an id are kept only in components without any id. Other columns aren't read.
     """
     text = F.col(text_col)
-    rows = docs.select(
-        F.col(id_col).alias("id"), F.md5(F.array_join(words(text), " ")).alias("key"), word_hashes(text).alias("hashes")
-    )
+    rows = docs.select(F.col(id_col).alias("id"), word_hashes(text).alias("hashes"))
     kind = rows.schema["id"].dataType.simpleString()
     marks = written(
         rows.mapInArrow(
             signer(width),
-            f"id {kind}, key string, n_shingles bigint, signature binary, bands array<bigint>",
+            f"id {kind}, key binary, n_shingles bigint, signature binary, bands array<bigint>",
         ),
         "near-marks",
     )
@@ -235,22 +269,22 @@ def all_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, wid
     # Whole shingle sets of the nodes that share a bucket.
     wanted = buckets.select("node").distinct().join(nodes.select("node", "key", "id"), "node")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    texts = texts.join(wanted, texts["id"].eqNullSafe(wanted["id"])).select("node", "key", "text")
-    texts = texts.withColumn("words", words(F.col("text"))).filter(F.md5(F.array_join("words", " ")) == F.col("key"))
-    sets = written(
-        texts.select("node", F.array_distinct(shingles(F.col("words"), width, hashed)).alias("shingles"))
-        .dropDuplicates(["node"]),
-        "near-sets",
-    )
+    texts = texts.join(wanted, texts["id"].eqNullSafe(wanted["id"]))
+    texts = texts.select("node", "key", word_hashes(F.col("text")).alias("hashes"))
+    # Rows that agree in id and text give a set each; the first is taken.
+    sets = texts.mapInArrow(set_maker(width), "node bigint, shingles array<bigint>")
+    sets = written(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "near-sets")
 
     links, left = None, buckets.withColumn("component", F.col("node"))
     for turn in range(LEADER_ROUNDS):
         order = F.xxhash64("node", F.lit(turn))
         heads = left.groupBy("bucket").agg(
-            F.min_by(F.struct("node", "component"), order).alias("head"), F.count("*").alias("members")
+            F.min(F.struct(order.alias("order"), "node", "component")).alias("head"), F.count("*").alias("members")
         )
         if turn:
-            heads = heads.filter(F.col("members") > FEW)
+            heads = heads.filter(F.col("members") > MANY)
+            if heads.isEmpty():
+                break
         pairs = (
             left.join(heads, "bucket")
             .filter("component != head.component")
@@ -258,13 +292,11 @@ def all_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, wid
             .distinct()
         )
         found = written(confirmed(likely(pairs, marks), sets), "near-links")
-        if turn and found.isEmpty():
-            break
         links = found if links is None else links.unionByName(found)
         parts = connected_components(links)
         left = written(several(left, parts), "near-open")
 
-    best = 1
+    best = BEST
     while True:
         rows = left.join(marks, "node")
         counts = left.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
