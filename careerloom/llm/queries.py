@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careerloom.llm import decontaminate, exact_dedup, language_id, minhash, packing, sharding, warc
+from careerloom.llm import decontaminate, exact_dedup, language_id, language_model, minhash, packing, sharding, warc
 from careerloom.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,20 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op4_backoff_scores(spark: SparkSession, folder: str) -> DataFrame:
+    train = remainder(F.col("doc_id"), 7) != 2
+    return language_model.score(table(spark, folder, "documents"), train).select(
+        F.col("id").alias("doc_id"),
+        (~F.col("train")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 @query
 def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_groups(table(spark, folder, "documents")).select(
