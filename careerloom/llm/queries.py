@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careerloom.llm import decontaminate, exact_dedup, language_id, language_model, minhash, packing, sharding, warc
+from careerloom.llm import (
+    decontaminate,
+    exact_dedup,
+    language_id,
+    language_model,
+    licenses,
+    minhash,
+    packing,
+    quality,
+    sharding,
+    warc,
+)
 from careerloom.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +77,24 @@ def op4_backoff_scores(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op5_quality_trees(spark: SparkSession, folder: str) -> DataFrame:
+    scores = quality.quality_scores(
+        table(spark, folder, "documents"), table(spark, folder, "labels"), remainder(F.col("id"), 5) != 0
+    )
+    return scores.select(
+        F.col("id").alias("doc_id"),
+        (remainder(F.col("id"), 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_groups(table(spark, folder, "documents")).select(
