@@ -12,7 +12,7 @@ def large_star(edges: DataFrame) -> DataFrame:
     """Every neighbour larger than a node is linked to the smallest node of its neighbourhood."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
-    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
 
 
 def small_star(edges: DataFrame) -> DataFrame:
@@ -27,15 +27,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """For edges (a, b): rows (node, component), the component being its smallest node.
 
     Nodes without an edge to another node have no row. A node with many
-    neighbours is summed before the shuffle, and its rows are dealt out by a join that Spark can split.
+    neighbours is summed before the shuffle, and its rows are dealt out by a join that Spark can split. Each
+    round is written, so that lost executors cost a round at most.
     """
-    edges = written(edges.filter("a != b").select("a", "b").distinct(), "star")
-    before = None
+    edges = edges.filter("a != b").select("a", "b")
     while True:
         edges = written(small_star(large_star(edges)), "star")
-        mark = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == before:
+        # Done when every edge leads to a root, that is, to a node from which none leads on.
+        roots = edges.select(F.col("b").alias("a")).distinct()
+        if edges.select("a").join(roots, "a", "left_semi").isEmpty():
             break
-        before = mark
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return written(edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots), "parts")

@@ -5,10 +5,12 @@ HASHES minima under multiply-shift hash functions; nodes that agree in all minim
 band share a bucket. At a similarity of 0.8, two nodes share none of the BANDS buckets with
 a probability of (1 - 0.8**ROWS)**BANDS = 5e-8. Links are confirmed on whole shingle sets.
 
-Pairs of a bucket are never listed all. Its members are first compared with one leader; once the
+Pairs of a bucket are never listed. Its members are first compared with one leader; once the
 confirmed links are joined to components, only buckets that still hold several
-components go on, and of those only pairs of different components whose signatures
-agree often enough, the best pair of two components first.
+components go on, in blocks of bounded size, and of those only members that have a partner in another
+component whose signature agrees often enough. Such members meet with their
+shingle sets, the likeliest pairs are verified first, and only the links that join
+two components leave the task.
 """
 
 from __future__ import annotations
@@ -29,16 +31,10 @@ HASHES = BANDS * ROWS
 WIDTH = 4
 #: Percent of the union that the intersection of two linked documents holds at least.
 SIMILARITY = 80
-#: Minima in which two linked nodes agree at least: five standard deviations below 80 percent.
-AGREEMENT = 80
+#: Minima in which two linked nodes agree at least: four standard deviations below 80 percent.
+AGREEMENT = 84
 #: A bucket of more members is compared in blocks of about this many.
-BLOCK = 2048
-#: Rounds with one leader for each bucket that holds several components; the later ones only for buckets of more
-#: members than MANY.
-LEADER_ROUNDS = 4
-MANY = 1024
-#: Pairs of two components in a bucket that are verified at first.
-BEST = 16
+BLOCK = 1024
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 FACTORS = _RANDOM.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -148,51 +144,66 @@ def agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array((a == b).sum(axis=1) >= AGREEMENT))
 
 
-def closest(best: int):
-    """Of the members of one bucket (or of two of its blocks), pairs of different components to be verified.
+class Group:
+    """The members of one bucket, or of two of its blocks: pairs of different components that may be linked."""
 
-    For each two components, the `best` pairs that agree most; the last column tells whether more are left.
-    """
-
-    def find(table: pa.Table) -> pa.Table:
-        node, part, side, size = (table.column(c).to_numpy() for c in ("node", "component", "side", "n_shingles"))
-        signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, HASHES)
-        split, place = side.max() > 0, np.arange(len(node))
-        kept, cut, waiting = empty_pairs(), False, []
-
-        def rest(found: list[np.ndarray]) -> tuple[np.ndarray, bool]:
-            """The best pairs of each two components."""
-            i, j, same = np.concatenate(found, axis=1)
-            low, high = np.minimum(part[i], part[j]), np.maximum(part[i], part[j])
-            order = np.lexsort((j, i, -same, high, low))
-            low, high = low[order], high[order]
-            first = np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])])[: len(order)]
-            start = np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
-            good = np.arange(len(order)) - start < best
-            return np.stack([i, j, same])[:, order[good]], not good.all()
-
-        for i in range(len(node)):
-            j = np.flatnonzero(
-                (part != part[i])
-                & ((side > side[i]) if split else (place > i))
-                & (100 * np.minimum(size, size[i]) >= SIMILARITY * np.maximum(size, size[i]))
-            )
-            same = (signature[j] == signature[i]).sum(axis=1)
-            good = same >= AGREEMENT
-            waiting.append(np.stack([np.full(good.sum(), i), j[good], same[good]]))
-            if i % 256 == 255 or i == len(node) - 1:
-                kept, more = rest([kept, *waiting])
-                cut, waiting = cut or more, []
-        a, b = node[kept[0]], node[kept[1]]
-        return pa.table(
-            {"a": np.minimum(a, b), "b": np.maximum(a, b), "more": pa.array([cut] * len(a), pa.bool_())}
+    def __init__(self, table: pa.Table):
+        self.node, self.part, self.side, self.size = (
+            table.column(c).to_numpy() for c in ("node", "component", "side", "n_shingles")
         )
-
-    return find
-
-
-def empty_pairs() -> np.ndarray:
-    return np.zeros((3, 0), np.int64)
+        self.signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, HASHES)
+        self.bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        self.bucket = table.column("bucket")[0].as_py()
+        self.split, self.place = self.side.max() > 0, np.arange(len(self.node))
+
+    def partners(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Members to be compared with i, with the number of minima that agree. Pairs are left to the first bucket they share."""
+        j = np.flatnonzero(
+            (self.part != self.part[i])
+            & ((self.side > self.side[i]) if self.split else (self.place > i))
+            & (100 * np.minimum(self.size, self.size[i]) >= SIMILARITY * np.maximum(self.size, self.size[i]))
+        )
+        j = j[self.bands[i, (self.bands[j] == self.bands[i]).argmax(axis=1)] == self.bucket]
+        same = (self.signature[j] == self.signature[i]).sum(axis=1)
+        return j[same >= AGREEMENT], same[same >= AGREEMENT]
+
+
+def open_members(table: pa.Table) -> pa.Table:
+    """The members of a group that have a partner in it."""
+    group = Group(table)
+    some = np.zeros(len(group.node), bool)
+    for i in range(len(group.node)):
+        j, _ = group.partners(i)
+        some[j] = True
+        some[i] |= len(j) > 0
+    return table.select(["bucket", "low", "high", "side", "node"]).filter(pa.array(some))
+
+
+def group_links(table: pa.Table) -> pa.Table:
+    """Confirmed links that join the components of a group, by exact similarity of whole shingle sets."""
+    group = Group(table)
+    lists = table.column("shingles").combine_chunks()
+    ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+    pairs = [(int(-s), i, int(j)) for i in range(len(group.node)) for j, s in zip(*group.partners(i), strict=True)]
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x] = root.get(root[x], root[x])
+        return x
+
+    a, b = [], []
+    for _, i, j in sorted(pairs):  # the likeliest first; what is joined already needs no further link
+        low, high = sorted((find(int(group.part[i])), find(int(group.part[j]))))
+        if low == high:
+            continue
+        x, y = flat[ends[i] : ends[i + 1]], flat[ends[j] : ends[j + 1]]
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        if 100 * both >= SIMILARITY * (len(x) + len(y) - both):
+            root[high] = low
+            a.append(int(group.node[i]))
+            b.append(int(group.node[j]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -204,12 +215,14 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def several(buckets: DataFrame, parts: DataFrame) -> DataFrame:
-    """Rows (bucket, node, component) of the buckets that hold more than one component."""
+    """Rows (bucket, node, component, members) of the buckets that hold more than one component."""
     rows = buckets.select("bucket", "node").join(parts, "node", "left").select(
         "bucket", "node", F.coalesce("component", "node").alias("component")
     )
-    open_ = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return rows.join(open_.filter("low < high").select("bucket"), "bucket")
+    open_ = rows.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members")
+    )
+    return rows.join(open_.filter("low < high").select("bucket", "members"), "bucket")
 
 
 def near_groups(
@@ -262,9 +275,9 @@ def near_groups(
 def all_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     """Confirmed links (a, b) between nodes; enough of them to connect all that are linked."""
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1").select("bucket")
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
     buckets = written(banded.join(shared, "bucket"), "near-buckets")
-    marks = nodes.select("node", "n_shingles", "signature")
+    marks = nodes.select("node", "n_shingles", "signature", "bands")
 
     # Whole shingle sets of the nodes that share a bucket.
     wanted = buckets.select("node").distinct().join(nodes.select("node", "key", "id"), "node")
@@ -275,57 +288,35 @@ def all_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, wid
     sets = texts.mapInArrow(set_maker(width), "node bigint, shingles array<bigint>")
     sets = written(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "near-sets")
 
-    links, left = None, buckets.withColumn("component", F.col("node"))
-    for turn in range(LEADER_ROUNDS):
-        order = F.xxhash64("node", F.lit(turn))
-        heads = left.groupBy("bucket").agg(
-            F.min(F.struct(order.alias("order"), "node", "component")).alias("head"), F.count("*").alias("members")
-        )
-        if turn:
-            heads = heads.filter(F.col("members") > MANY)
-            if heads.isEmpty():
-                break
-        pairs = (
-            left.join(heads, "bucket")
-            .filter("component != head.component")
-            .select(F.least("node", "head.node").alias("a"), F.greatest("node", "head.node").alias("b"))
-            .distinct()
-        )
-        found = written(confirmed(likely(pairs, marks), sets), "near-links")
-        links = found if links is None else links.unionByName(found)
-        parts = connected_components(links)
-        left = written(several(left, parts), "near-open")
-
-    best = BEST
-    while True:
-        rows = left.join(marks, "node")
-        counts = left.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-        rows = rows.join(counts, "bucket").withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
-        # One row for each pair of blocks that the member's own block belongs to.
-        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        rows = rows.select(
-            "bucket",
-            F.least("block", "other").alias("low"),
-            F.greatest("block", "other").alias("high"),
-            F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("side"),
-            "node",
-            "component",
-            "n_shingles",
-            "signature",
-        )
-        pairs = written(
-            rows.groupBy("bucket", "low", "high").applyInArrow(closest(best), "a bigint, b bigint, more boolean"),
-            "near-pairs",
-        )
-        if pairs.isEmpty():
-            return links
-        found = written(confirmed(pairs.select("a", "b").distinct(), sets), "near-links")
-        links = links.unionByName(found)
-        if pairs.filter("more").isEmpty():
-            return links
-        parts = connected_components(links)
-        left = written(several(left, parts), "near-open")
-        best *= 8
+    heads = buckets.groupBy("bucket").agg(F.min("node").alias("head"))
+    pairs = buckets.join(heads, "bucket").filter("node != head")
+    pairs = pairs.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
+    links = written(confirmed(likely(pairs, marks), sets), "near-links")
+
+    left = several(buckets, connected_components(links)).join(marks, "node")
+    left = left.withColumn("blocks", F.ceil(F.col("members") / F.lit(BLOCK)).cast("int"))
+    left = left.withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
+    # One row for each pair of blocks that the member's own block belongs to.
+    left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    group = [
+        "bucket",
+        F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high"),
+        F.when(F.col("block") > F.col("other"), 1).otherwise(0).alias("side"),
+        "node",
+        "component",
+        "n_shingles",
+        "signature",
+        "bands",
+    ]
+    left = written(left.select(*group), "near-open")
+    key = ["bucket", "low", "high"]
+    members = "bucket bigint, low int, high int, side int, node bigint"
+    # Only members with a partner are brought together with their sets.
+    needed = written(left.groupBy(*key).applyInArrow(open_members, members), "near-needed")
+    rows = left.join(needed, [*key, "side", "node"]).join(sets, "node")
+    more = rows.groupBy(*key).applyInArrow(group_links, "a bigint, b bigint")
+    return links.unionByName(written(more, "near-links"))
 
 
 def likely(pairs: DataFrame, marks: DataFrame) -> DataFrame:
