@@ -88,5 +88,12 @@ def located(docs: DataFrame, columns: Iterable[Column]) -> DataFrame:
         return docs.select(*columns, place["file_path"].alias("at_file"), place["row_index"].alias("at_row"))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Give Python workers fewer rows at once: at Spark's default, a batch of long texts takes many megabytes."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > 1000:
+        spark.conf.set(name, "1000")
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Orders of the character n-grams, and the number of hash buckets.
@@ -90,6 +90,33 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tupl
     return languages, np.log(matrix / matrix.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
+def language_udf(spark: SparkSession, languages: list[str], matrix: np.ndarray):
+    """A function of a text column: struct(lang_pred, score)."""
+    model = spark.sparkContext.broadcast((languages, np.ascontiguousarray(matrix.T)))
+
+    @F.arrow_udf("struct<lang_pred:string,score:double>")
+    def identify(texts: pa.Array) -> pa.Array:
+        names, weights = model.value
+        langs, scores = [], []
+        for text in texts:
+            text = text.as_py()
+            if not names or text is None or not LETTER.search(text):
+                langs.append(UNKNOWN)
+                scores.append(0.0)
+                continue
+            found = counts(text)
+            some = np.flatnonzero(found)
+            log = found[some].astype(np.float64) @ weights[some]
+            best = int(np.argmax(log))
+            langs.append(names[best])
+            scores.append(float(1 / np.exp(np.maximum(log - log[best], -700)).sum()))
+        return pa.StructArray.from_arrays(
+            [pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"]
+        )
+
+    return identify
+
+
 def predict(
     docs: DataFrame, languages: list[str], matrix: np.ndarray, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -97,54 +124,16 @@ def predict(
 
     Priors are equal. Null texts, texts without a letter, and all texts when no language was
     learned give UNKNOWN with score 0. Of equal probabilities, the language that sorts first wins.
+    Repeated rows and rows without an id are handled like all others; other columns aren't read.
     """
-    spark = docs.sparkSession
-    model = spark.sparkContext.broadcast((languages, np.ascontiguousarray(matrix.T)))
+    found = language_udf(docs.sparkSession, languages, matrix)(F.col(text_col))
+    rows = docs.select(F.col(id_col).alias("id"), found.alias("found"))
+    return rows.select("id", "found.lang_pred", "found.score")
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, weights = model.value
-        for batch in batches:
-            langs, scores = [], []
-            for text in batch.column("text"):
-                text = text.as_py()
-                if not names or text is None or not LETTER.search(text):
-                    langs.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                found = counts(text)
-                some = np.flatnonzero(found)
-                log = found[some].astype(np.float64) @ weights[some]
-                best = int(np.argmax(log))
-                langs.append(names[best])
-                scores.append(float(1 / np.exp(np.maximum(log - log[best], -700)).sum()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=["id", "lang_pred", "score"],
-            )
-
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(score, f"id {kind}, lang_pred string, score double")
-
-
-def keep_known(docs: DataFrame, languages: list[str], matrix: np.ndarray, least: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The documents whose language is known with a probability of at least `least`, with all their columns."""
-    model = docs.sparkSession.sparkContext.broadcast((languages, np.ascontiguousarray(matrix.T)))
-    at = docs.columns.index(text_col)
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, weights = model.value
-        for batch in batches:
-            good = []
-            for text in batch.column(at):
-                text = text.as_py()
-                if not names or text is None or not LETTER.search(text):
-                    good.append(False)
-                    continue
-                found = counts(text)
-                some = np.flatnonzero(found)
-                log = found[some].astype(np.float64) @ weights[some]
-                good.append(bool(1 / np.exp(np.maximum(log - log.max(), -700)).sum() >= least))
-            yield batch.filter(pa.array(good, pa.bool_()))
-
-    return docs.mapInArrow(keep, docs.schema)
+def keep_known(
+    docs: DataFrame, languages: list[str], matrix: np.ndarray, least: float = 0.5, text_col: str = "text"
+) -> DataFrame:
+    """The documents whose language is known with a probability of at least `least`, with all their columns."""
+    found = language_udf(docs.sparkSession, languages, matrix)(F.col(text_col))
+    return docs.filter(found["score"] >= least)

@@ -19,13 +19,17 @@ from careerloom.llm import (
     sharding,
     warc,
 )
-from careerloom.llm.common import remainder, table
+from careerloom.llm.common import remainder, small_batches, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        small_batches(spark)
+        return fn(spark, folder)
+
+    QUERIES[fn.__name__] = run
     return fn
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from careerloom.llm import decontaminate, exact_dedup, language_id, minhash, packing
-from careerloom.llm.common import remainder, table, written
+from careerloom.llm.common import remainder, small_batches, table, written
 from careerloom.llm.queries import public_tokenizer
 
 ORACLE_SQL = None  # language identification can't be written in SQL
@@ -19,6 +19,7 @@ ORACLE_SQL = None  # language identification can't be written in SQL
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known: they have letters, and one language is likelier than all others together."""
+    small_batches(spark)
     model = language_id.fit(docs.filter(remainder(F.col("doc_id"), 5) != 0))
     return language_id.keep_known(docs, *model)
 
