@@ -72,20 +72,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def located(docs: DataFrame, columns: Iterable[Column]) -> DataFrame:
+def stored(docs: DataFrame) -> DataFrame:
+    """The rows as rows of files: as they are if Spark reads them from files, else written to a shared folder."""
+    try:
+        docs.select(docs.metadataColumn("_metadata")["row_index"])
+        return docs
+    except AnalysisException:
+        return written(docs, "rows")
+
+
+def located(docs: DataFrame, columns: Iterable[Column], file: str = "at_file", row: str = "at_row") -> DataFrame:
     """The columns, with the file and row in which each row is stored.
 
-    The place tells rows apart that agree in all columns. Rows that come from no
-    file are written to a shared folder first.
+    The place tells rows apart that agree in all columns.
     """
-    columns = list(columns)
-    try:
-        place = docs.metadataColumn("_metadata")
-        return docs.select(*columns, place["file_path"].alias("at_file"), place["row_index"].alias("at_row"))
-    except AnalysisException:
-        docs = written(docs, "rows")
-        place = docs.metadataColumn("_metadata")
-        return docs.select(*columns, place["file_path"].alias("at_file"), place["row_index"].alias("at_row"))
+    docs = stored(docs)
+    place = docs.metadataColumn("_metadata")
+    return docs.select(*columns, place["file_path"].alias(file), place["row_index"].alias(row))
 
 
 def small_batches(spark: SparkSession) -> None:

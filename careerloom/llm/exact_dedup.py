@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from careerloom.llm.common import ascii_lower, located, shared_folder, written
+from careerloom.llm.common import ascii_lower, located, shared_folder, stored, written
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Rows of a micro-batch are bounded by the bytes of the files that it takes up.
@@ -125,6 +125,8 @@ def exact_dedup(
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that exact_dedup keeps, with all their columns."""
-    dropped = exact_dedup(docs, id_col, text_col).filter(~F.col("kept")).select("at_file", "at_row")
-    docs = located(docs, [F.col(f"`{c}`") for c in docs.columns])
-    return docs.join(written(dropped, "dedup-dropped"), ["at_file", "at_row"], "left_anti").drop("at_file", "at_row")
+    docs = stored(docs)
+    dropped = exact_dedup(docs, id_col, text_col).filter(~F.col("kept"))
+    place = ["__at_file", "__at_row"]
+    dropped = written(dropped.select(*(F.col(c[2:]).alias(c) for c in place)), "dedup-dropped")
+    return located(docs, [F.col(f"`{c}`") for c in docs.columns], *place).join(dropped, place, "left_anti").drop(*place)

@@ -1,0 +1,32 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+
+TESTDATA = "/root/testdata/sf0.001"
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string, shard string, size string, id string"
+
+
+@pytest.fixture
+def documents(spark):
+    """Documents from (doc_id, text) or (doc_id, text, lang), with extra columns whose names clash with those of results."""
+
+    def build(*rows):
+        return spark.createDataFrame(
+            [(r[0], r[1], r[2] if len(r) > 2 else None, None, None, "k", "s", None, "i") for r in rows], DOCS
+        )
+
+    return build
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from registry.session import local_session
+
+    return local_session(4)
