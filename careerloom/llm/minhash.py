@@ -260,16 +260,17 @@ def near_groups(
         "near-nodes",
     )
     links = all_links(docs, nodes, id_col, text_col, width)
-    parts = connected_components(links)
-
-    owners = nodes.select("key", "node").join(parts, "node", "left").select(
-        "key", F.coalesce("component", "node").alias("component")
+    owners = nodes.join(connected_components(links), "node", "left").select(
+        "key", "id", F.coalesce("component", "node").alias("component")
     )
+    smallest = owners.groupBy("component").agg(F.min("id").alias("component_id"))
+    owners = written(owners.join(smallest, "component").select("key", "component_id"), "near-owners")
+    # A plain join of small rows: Spark splits what one component or one text has of them.
     members = marks.select("id", "key", "n_shingles").join(owners, "key", "left")
-    smallest = members.filter("component is not null").groupBy("component").agg(F.min("id").alias("component_id"))
-    alone = members.filter("component is null").select("id", "n_shingles", F.col("id").alias("component_id"))
-    grouped = members.join(smallest, "component").select("id", "n_shingles", "component_id")
-    return grouped.unionByName(alone).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
+    return members.select(
+        "id", "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
+    )
 
 
 def all_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
