@@ -4,14 +4,15 @@ from careerloom.functions.dates import (
     active_positions,
     date_year,
     dated_positions,
+    first_year,
     has_bad_year,
     is_active_in,
+    last_year,
     normalize_date,
     normalize_positions,
     position_interval,
     position_interval_current,
-    span_years,
-    year_range,
+    unfold_years,
 )
 from careerloom.functions.text import (
     clean_connections,
@@ -30,16 +31,17 @@ __all__ = [
     "connection_count",
     "date_year",
     "dated_positions",
+    "first_year",
     "has_bad_year",
     "is_active_in",
     "is_blank",
+    "last_year",
     "missing_sector",
     "normalize_date",
     "normalize_positions",
     "position_interval",
     "position_interval_current",
-    "span_years",
     "split_fields",
     "strip_blanks",
-    "year_range",
+    "unfold_years",
 ]

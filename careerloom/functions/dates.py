@@ -9,14 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from careerloom.schema import END_YEAR, POSITION_COLUMNS, START_YEAR
 
-# A year has one to four significant digits. Longer numbers ("20120601") are
-# bad dates, not years: they would otherwise unfold into millions of rows.
-_YEAR = r"^([+]?0*[0-9]{1,4})(?:%s|\z)"
+# Any whole number in front of the delimiter that fits an int.
+_YEAR = r"^([+]?[0-9]+)(?:%s|\z)"
+# Years of a block: a block's years, and the blocks of all years there are, make arrays of bounded size.
+_BLOCK = 1 << 16
 
 
 def _leading_year(date: Column, delimiter: str) -> Column:
@@ -103,14 +104,29 @@ def dated_positions(
     )
 
 
-def year_range(first: Column, last: Column) -> Column:
-    """Array of the years ``first..last``; null when ``last`` lies before ``first``."""
-    return F.when(last >= first, F.sequence(first, last))
+def first_year(dated: Column) -> Column:
+    return F.array_min(dated["from_year"])
 
 
-def span_years(dated: Column) -> Column:
-    """Years from the earliest start to the latest end, gap years included."""
-    return year_range(F.array_min(dated["from_year"]), F.array_max(dated["to_year"]))
+def last_year(dated: Column) -> Column:
+    return F.array_max(dated["to_year"])
+
+
+def unfold_years(df: DataFrame, first: str, last: str) -> DataFrame:
+    """One row per year ``first..last`` in ``year``; none when ``last`` lies before ``first``.
+
+    Unfolds blocks of years, then the years of a block, so that no row holds a long array however
+    far a span reaches.
+    """
+    low, high = F.col(first).cast("bigint"), F.col(last).cast("bigint")
+    blocks = F.when(high >= low, F.sequence(low, high, F.lit(_BLOCK)))
+    years = F.sequence(F.col("_block"), F.least(F.col("_block") + (_BLOCK - 1), high))
+    return (
+        df.withColumn("_block", F.explode(blocks))
+        .withColumn("year", F.explode(years))
+        .withColumn("year", F.col("year").cast("int"))
+        .drop("_block")
+    )
 
 
 def active_positions(dated: Column, year: Column) -> Column:

@@ -23,6 +23,7 @@ from careerloom.operators.panel import (
     position_years,
     profile_year_panel,
     sector_year_order,
+    spans_year,
     year_store_row_count,
     year_store_rows,
 )
@@ -32,6 +33,7 @@ from careerloom.operators.places import (
     sector_country_active,
     sector_country_counts,
     sector_country_span,
+    sector_country_spanning,
 )
 from careerloom.operators.sectors import (
     assign_sector,
@@ -84,10 +86,12 @@ __all__ = [
     "sector_country_active",
     "sector_country_counts",
     "sector_country_span",
+    "sector_country_spanning",
     "sector_models",
     "sector_prediction_summary",
     "sector_year_order",
     "skill_sector_join",
+    "spans_year",
     "split_by_year",
     "tag_columns",
     "tag_industries",

@@ -10,7 +10,8 @@ class, so it stays in the sum.
 All a model needs is counts and moments, so all models come from one
 aggregation by (sector, year, label) with partial aggregates, whatever the size
 of a sector. Scoring joins one row per sector to the test rows and votes inside
-the row, so test rows are neither multiplied nor shuffled.
+the row, so test rows are not multiplied. They are not shuffled either if the small side
+is a written table: then Spark knows its size and broadcasts it.
 """
 
 from __future__ import annotations
@@ -37,7 +38,8 @@ def tag_columns(k: int = TOP_K) -> list[str]:
 def attach_top_tags(df: DataFrame, top_tags: DataFrame, sector_col: str = "sector") -> DataFrame:
     """Add ``tags``, the top tags of each row's sector; an empty list without any.
 
-    One row per sector on the small side, so Spark broadcasts it.
+    One row per sector on the small side. Give it as a written table: of an aggregate, Spark
+    only knows the size of what lies below it, and may shuffle ``df`` by sector.
     """
     tags = top_tags.select(F.col("sector").alias("_sector"), F.col("tags").alias("_tags"))
     return (
@@ -198,15 +200,17 @@ def _log_likelihood(p: Column, k: int) -> Column:
     return score
 
 
-def _says_no(model: Column, k: int) -> Column:
+def _says_no(model: Column, k: int, tie_tolerance: float) -> Column:
     """Whether a model picks NO. A class without training rows cannot win; a tie is YES."""
     margin = _log_likelihood(model["no"], k) - _log_likelihood(model["yes"], k)
     return F.when(model["no"].isNull(), F.lit(False)).otherwise(
-        F.coalesce(margin > TIE_TOLERANCE, F.lit(True))
+        F.coalesce(margin > tie_tolerance, F.lit(True))
     )
 
 
-def score_nb(test: DataFrame, by_sector: DataFrame, k: int = TOP_K) -> DataFrame:
+def score_nb(
+    test: DataFrame, by_sector: DataFrame, k: int = TOP_K, tie_tolerance: float = TIE_TOLERANCE
+) -> DataFrame:
     """One row per test row and model of its sector, with the ``predicted`` class."""
     scored = score_join(test, by_sector).select(
         *test.columns, F.explode("models").alias("_model")
@@ -214,11 +218,13 @@ def score_nb(test: DataFrame, by_sector: DataFrame, k: int = TOP_K) -> DataFrame
     return scored.select(
         *test.columns,
         F.col("_model.model_year").alias("model_year"),
-        F.when(_says_no(F.col("_model"), k), F.lit(NO)).otherwise(F.lit(YES)).alias("predicted"),
+        F.when(_says_no(F.col("_model"), k, tie_tolerance), F.lit(NO)).otherwise(F.lit(YES)).alias("predicted"),
     )
 
 
-def vote(test: DataFrame, by_sector: DataFrame, k: int = TOP_K) -> DataFrame:
+def vote(
+    test: DataFrame, by_sector: DataFrame, k: int = TOP_K, tie_tolerance: float = TIE_TOLERANCE
+) -> DataFrame:
     """Add ``votes`` and ``predicted``: +1 per model that says NO, -1 per YES.
 
     NO wins with a positive sum; a tie, or no model at all, is YES.
@@ -226,7 +232,7 @@ def vote(test: DataFrame, by_sector: DataFrame, k: int = TOP_K) -> DataFrame:
     votes = F.aggregate(
         "models",
         F.lit(0),
-        lambda total, model: total + F.when(_says_no(model, k), F.lit(1)).otherwise(F.lit(-1)),
+        lambda total, model: total + F.when(_says_no(model, k, tie_tolerance), F.lit(1)).otherwise(F.lit(-1)),
     )
     return (
         score_join(test, by_sector)

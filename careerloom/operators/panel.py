@@ -10,15 +10,17 @@ from pyspark.sql import functions as F
 from careerloom.functions import (
     active_positions,
     dated_positions,
+    first_year,
     is_active_in,
+    last_year,
     missing_sector,
     position_interval,
     position_interval_current,
-    span_years,
-    year_range,
+    unfold_years,
 )
-from careerloom.operators.sectors import valid_sector
+from careerloom.operators.sectors import require_sector
 from careerloom.schema import END_YEAR, POSITION_COLUMNS, START_YEAR
+from careerloom.sources.outputs import written_table
 
 
 def position_years(
@@ -30,11 +32,10 @@ def position_years(
 ) -> DataFrame:
     """One row per position and covered year: kept columns, position_no, year."""
     span = interval(F.col("_position"), start_year, end_year)
-    return (
-        profiles.select(*keep, F.posexplode("positions").alias("position_no", "_position"))
-        .select(*keep, "position_no", span["from_year"].alias("_from"), span["to_year"].alias("_to"))
-        .select(*keep, "position_no", F.explode(year_range(F.col("_from"), F.col("_to"))).alias("year"))
+    spans = profiles.select(*keep, F.posexplode("positions").alias("position_no", "_position")).select(
+        *keep, "position_no", span["from_year"].alias("_from"), span["to_year"].alias("_to")
     )
+    return unfold_years(spans, "_from", "_to").select(*keep, "position_no", "year")
 
 
 def position_year_counts(
@@ -52,6 +53,16 @@ def active_in_year(
     return profiles.filter(is_active_in(year, "positions", start_year, end_year))
 
 
+def spans_year(
+    profiles: DataFrame, year: int, start_year: int = START_YEAR, end_year: int = END_YEAR
+) -> DataFrame:
+    """Profiles whose span, gap years included, covers ``year``; those without dated positions in year 0."""
+    dated = dated_positions("positions", start_year, end_year, ())
+    first, last = first_year(F.col("_dated")), last_year(F.col("_dated"))
+    covered = (first <= year) & (last >= year) | ((F.size("_dated") == 0) & (F.lit(year) == 0))
+    return profiles.withColumn("_dated", dated).filter(covered).drop("_dated")
+
+
 def profile_year_panel(
     profiles: DataFrame,
     start_year: int = START_YEAR,
@@ -68,13 +79,12 @@ def profile_year_panel(
     """
     kept = [c for c in profiles.columns if c not in ("positions", "relevant_experience")]
     dated = dated_positions("positions", start_year, end_year, position_fields)
-    years = F.posexplode(span_years(F.col("_dated"))).alias("relevant_experience", "year")
     active = active_positions(F.col("_dated"), F.col("year")).alias("positions")
-    return (
-        profiles.select(*kept, dated.alias("_dated"))
-        .select(*kept, "_dated", years)
-        .select(*kept, "year", "relevant_experience", active)
+    spans = profiles.select(*kept, dated.alias("_dated")).select(
+        *kept, "_dated", first_year(F.col("_dated")).alias("_first"), last_year(F.col("_dated")).alias("_last")
     )
+    experience = (F.col("year") - F.col("_first")).alias("relevant_experience")
+    return unfold_years(spans, "_first", "_last").select(*kept, "year", experience, active)
 
 
 def last_known_position(
@@ -108,10 +118,12 @@ def year_store_rows(
     sector_col: str = "industry",
     start_year: int = START_YEAR,
     end_year: int = END_YEAR,
+    year: int | None = None,
 ) -> DataFrame:
     """Rows of the year store: one per profile and year of its span.
 
-    A profile without dated positions gets a single row with year 0.
+    A profile without dated positions gets a single row with year 0. With ``year`` only the
+    rows of that year are made; the other years are not unfolded.
     Experience is the input's own ``relevant_experience``, or 0.
     """
     text = ["first_name", "last_name", "num_connections", "location"]
@@ -121,7 +133,11 @@ def year_store_rows(
         else F.lit(0)
     )
     dated = F.col("_dated")
-    years = F.when(F.size(dated) == 0, F.array(F.lit(0))).otherwise(span_years(dated))
+    undated = F.size(dated) == 0
+    ends = [
+        F.when(undated, F.lit(0)).otherwise(end(dated)).alias(name)
+        for end, name in ((first_year, "_first"), (last_year, "_last"))
+    ]
     head = [
         F.col(id_col),
         F.coalesce(sector_col, F.lit("")).alias("sector"),
@@ -130,13 +146,15 @@ def year_store_rows(
     ]
     names = [id_col, "sector", *text, "rel_experience"]
     fields = ("title", "company_name")
-    return (
-        pruned.select(
-            *head, dated_positions("positions", start_year, end_year, fields).alias("_dated")
-        )
-        .select(*names, "_dated", F.explode(years).alias("year"))
-        .select(*names, "year", active_positions(dated, F.col("year")).alias("positions"))
-        .select("year", *names, *_last_known())
+    spans = pruned.select(
+        *head, dated_positions("positions", start_year, end_year, fields).alias("_dated")
+    ).select(*names, "_dated", *ends)
+    if year is None:
+        rows = unfold_years(spans, "_first", "_last")
+    else:
+        rows = spans.withColumn("year", F.lit(year)).filter("_first <= year AND year <= _last")
+    return rows.select(*names, "year", active_positions(dated, F.col("year")).alias("positions")).select(
+        "year", *names, *_last_known()
     )
 
 
@@ -160,7 +178,7 @@ def null_sector_count(
     return (
         profiles.filter(missing_sector(F.col(sector_col)))
         .select(dated.alias("_dated"))
-        .select(F.size(span_years(F.col("_dated"))).alias("_years"))
+        .select((last_year(F.col("_dated")).cast("bigint") - first_year(F.col("_dated")) + 1).alias("_years"))
         .filter(F.col("_years") > 0)
         .agg(
             F.coalesce(F.sum("_years"), F.lit(0)).alias("n_rows"),
@@ -172,14 +190,13 @@ def null_sector_count(
 def sector_year_order(
     panel: DataFrame, id_col: str = "pid", sector_col: str = "sector"
 ) -> DataFrame:
-    """Panel rows of known sectors, ordered by sector and year, with ``group_no``.
+    """Panel rows that have a sector, ordered by sector and year, with ``group_no``.
 
     ``group_no`` numbers the years within each sector. Rows are split by ranges
     of (sector, year, id), so a dominant sector spreads over many tasks. The
-    group table has at most one row per vocabulary sector and four-digit year;
-    that bound is why it may be broadcast.
+    table of groups is written, so Spark knows its size when it joins it.
     """
-    known = valid_sector(panel, sector_col)
+    known = require_sector(panel, sector_col)
     numbered = Window.partitionBy(sector_col).orderBy("year")
     groups = (
         known.select(sector_col, "year")
@@ -188,7 +205,7 @@ def sector_year_order(
     )
     order = [sector_col, "year", id_col]
     return (
-        known.join(F.broadcast(groups), [sector_col, "year"])
+        known.join(written_table(groups), [sector_col, "year"])
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
     )

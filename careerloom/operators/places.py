@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from careerloom.operators.panel import active_in_year
+from careerloom.operators.panel import active_in_year, spans_year
 from careerloom.operators.sectors import require_sector
 from careerloom.schema import END_YEAR, START_YEAR
 from careerloom.sources.stores import year_store_scan
@@ -24,15 +24,16 @@ def resolve_country(
 ) -> DataFrame:
     """(kept columns, country): the country of the first location word that is a place.
 
-    ``keep`` must identify the rows. Rows without a known place are absent.
+    Each distinct location is resolved once. Rows without a known place are absent.
     """
     first = F.min(F.struct("pos", "country"))
-    return (
-        location_tokens(df, keep)
+    countries = (
+        location_tokens(df.select("location").distinct(), ["location"])
         .join(places, "token")
-        .groupBy(*keep)
+        .groupBy("location")
         .agg(first["country"].alias("country"))
     )
+    return df.join(countries, "location").select(*keep, "country")
 
 
 def sector_country_counts(
@@ -73,3 +74,16 @@ def sector_country_span(store: DataFrame, places: DataFrame, year: int) -> DataF
     :func:`sector_country_active`.
     """
     return sector_country_counts(year_store_scan(store, year), places, "industry")
+
+
+def sector_country_spanning(
+    pruned: DataFrame,
+    places: DataFrame,
+    year: int,
+    sector_col: str = "industry",
+    start_year: int = START_YEAR,
+    end_year: int = END_YEAR,
+) -> DataFrame:
+    """The counts of :func:`sector_country_span` straight from the profiles, without unfolding their years."""
+    spanning = spans_year(require_sector(pruned, sector_col), year, start_year, end_year)
+    return sector_country_counts(spanning, places, sector_col)

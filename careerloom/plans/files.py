@@ -5,6 +5,8 @@ Inputs are paths Spark can read: files, folders or globs.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +41,8 @@ from careerloom.operators import (
     year_store_row_count,
     year_store_rows,
 )
-from careerloom.schema import END_YEAR, NO, START_YEAR, TEST_YEAR, TOP_K
+from careerloom.operators.model import TIE_TOLERANCE
+from careerloom.schema import END_YEAR, NO, SECTORS, START_YEAR, TEST_YEAR, TOP_K
 from careerloom.sources import (
     lookup_lists,
     lookup_pairs,
@@ -48,8 +51,10 @@ from careerloom.sources import (
     parse_tag_line,
     place_lookup,
     read_lines,
+    read_named_lines,
     read_profile_arrays,
     read_profile_objects,
+    rejected_lines,
     with_profile_id,
     write_key_list,
     write_named_outputs,
@@ -60,6 +65,11 @@ from careerloom.sources import (
 )
 
 
+def _write_rejected(lines: DataFrame, path: str, layout: str = "array") -> None:
+    """The lines that a reader drops or reads in part, with the reason, next to an output."""
+    rejected_lines(lines, layout=layout).write.mode("overwrite").json(f"{path}_rejected")
+
+
 def _write_report(report: DataFrame, path: str) -> None:
     report.select(F.concat_ws(",", *report.columns).alias("value")).write.mode("overwrite").text(path)
 
@@ -77,8 +87,10 @@ def tag_industry_files(
     With ``titles``, position titles count as tags too, and the number of
     positions per year is returned.
     """
+    lines = spark.read.text(raw)
+    _write_rejected(lines, out)
     profiles = read_profile_arrays(
-        spark.read.text(raw), columns=["industry", "skills", "positions"] if titles else ["industry", "skills"]
+        lines, columns=["industry", "skills", "positions"] if titles else ["industry", "skills"]
     )
     tags = explode_skill_tags(profiles)
     if titles:
@@ -115,16 +127,22 @@ def data_model_files(
     test_year: int = TEST_YEAR,
     k: int = TOP_K,
     train_before_only: bool = False,
+    normalize: bool = False,
+    sectors: Sequence[str] = SECTORS,
 ) -> DataFrame:
     """Raw profiles to ``out/pruneddata``, ``out/testdata`` and ``out/models``.
 
-    Returns the number of panel rows and profiles without a sector.
+    Returns the number of panel rows and profiles without a sector. ``tag_sector`` and ``top_tags`` are
+    read with :func:`read_named_lines`.
     """
-    profiles = written_table(with_profile_id(read_profile_arrays(spark.read.text(raw)).drop("relevant_experience")))
+    lines = spark.read.text(raw)
+    _write_rejected(lines, f"{out}/raw")
+    profiles = written_table(with_profile_id(read_profile_arrays(lines).drop("relevant_experience")))
     assigned = assign_sector(
         profiles,
         lookup_pairs(read_lines(spark, sector_csv), "industry", "sector"),
-        lookup_pairs(read_lines(spark, tag_sector), "tag", "sector"),
+        lookup_pairs(read_named_lines(spark, tag_sector, "tagsector"), "tag", "sector"),
+        normalize=normalize,
     )
     # Three outputs come from the assigned profiles.
     pruned = written_table(prune_profile(assigned))
@@ -134,11 +152,11 @@ def data_model_files(
     _, test = split_by_year(profile_year_panel(known, start_year, end_year), test_year)
     write_profile_json(test, f"{out}/testdata")
 
-    tags = lookup_lists(read_lines(spark, top_tags), "sector", "tags")
-    features = feature_columns(known, tags, k)
+    tags = written_table(lookup_lists(read_named_lines(spark, top_tags, "toptags"), "sector", "tags"))
+    features = feature_columns(known, tags, k, normalize)
     panel = profile_year_panel(features, start_year, end_year, position_fields=())
     train, _ = split_by_year(feature_rows(panel, tags, k), test_year, train_before_only)
-    model_store(train_sector_year_nb(train, k), f"{out}/models")
+    model_store(train_sector_year_nb(train, k, sectors), f"{out}/models")
     return null_sector_count(pruned, "sector", start_year, end_year)
 
 
@@ -150,19 +168,25 @@ def predictor_files(
     out: str,
     k: int = TOP_K,
     positive: str = NO,
+    normalize: bool = False,
+    sectors: Sequence[str] = SECTORS,
+    tie_tolerance: float = TIE_TOLERANCE,
 ) -> DataFrame:
     """Test data, models and top tags to ``sector,size,actual,predicted`` lines.
 
     Returns the confusion counts. People with equal features are scored once.
     """
-    test = read_profile_objects(spark.read.text(test_data)).withColumnRenamed("industry", "sector")
-    tags = lookup_lists(read_lines(spark, top_tags), "sector", "tags")
-    features = label_multi_position(feature_columns(require_sector(test), tags, k))
+    lines = spark.read.text(test_data)
+    _write_rejected(lines, out, "object")
+    test = read_profile_objects(lines).withColumnRenamed("industry", "sector")
+    tags = written_table(lookup_lists(read_named_lines(spark, top_tags, "toptags"), "sector", "tags"))
+    features = label_multi_position(feature_columns(require_sector(test), tags, k, normalize))
     vector = ["connections", *tag_columns(k), "label"]
     people = features.groupBy("sector", F.col("relevant_experience").alias("experience"), *vector).agg(
         F.count("*").alias("n_rows")
     )
-    predictions = written_table(vote(people, sector_models(model_load(spark, models)), k))
+    by_sector = written_table(sector_models(model_load(spark, models), len(sectors)))
+    predictions = written_table(vote(people, by_sector, k, tie_tolerance))
     _write_report(sector_prediction_summary(predictions, positive, "n_rows"), out)
     return confusion_counts(predictions, positive, "n_rows")
 
@@ -181,20 +205,28 @@ def headcount_files(
     end_year: int = END_YEAR,
 ) -> None:
     """Pruned profiles to ``sector,country,count`` lines for one year."""
-    people = read_profile_objects(spark.read.text(pruned), columns=["industry", "location", "positions"])
+    lines = spark.read.text(pruned)
+    _write_rejected(lines, out, "object")
+    people = read_profile_objects(lines, columns=["industry", "location", "positions"])
     _write_report(
         sector_country_active(people, _places(spark, places_csv), year, "industry", start_year, end_year), out
     )
 
 
 def year_store_files(
-    spark: SparkSession, pruned: str, store: str, start_year: int = START_YEAR, end_year: int = END_YEAR
+    spark: SparkSession,
+    pruned: str,
+    store: str,
+    start_year: int = START_YEAR,
+    end_year: int = END_YEAR,
+    load: str = "all",
 ) -> DataFrame:
-    """Load pruned profiles into the year store; returns the number of rows loaded."""
-    people = with_profile_id(read_profile_objects(spark.read.text(pruned)))
-    rows = year_store_rows(people, start_year=start_year, end_year=end_year)
-    year_store_write(rows, store)
-    return year_store_row_count(rows)
+    """Add pruned profiles to the year store under the name of a load; returns the number of rows written."""
+    lines = spark.read.text(pruned)
+    _write_rejected(lines, f"{store.rstrip('/')}_{load}", "object")
+    people = with_profile_id(read_profile_objects(lines))
+    year_store_write(year_store_rows(people, start_year=start_year, end_year=end_year), store, load)
+    return year_store_row_count(year_store_read(spark, store).filter(F.col("load") == load))
 
 
 def year_store_headcount_files(

@@ -24,7 +24,7 @@ from careerloom.operators import (
     top_tags_per_sector,
     vote,
 )
-from careerloom.operators.model import moment_aggregates
+from careerloom.operators.model import TIE_TOLERANCE, moment_aggregates
 from careerloom.schema import END_YEAR, NO, SECTORS, START_YEAR, TEST_YEAR, TOP_K
 from careerloom.sources import written_table
 
@@ -44,7 +44,13 @@ def tag_tables(
     tags = explode_skill_tags(profiles, batch).distinct()
     rows = tags.select(*batch, "tag", F.array("industry").alias("industries"))
     counts = written_table(tag_sector_counts(tag_row_sectors(rows, industry_sector, batch)))
-    return top_sector_per_tag(counts), top_tags_per_sector(counts, k)
+    # One row per sector; written, so that joins see its size.
+    return top_sector_per_tag(counts), written_table(top_tags_per_sector(counts, k))
+
+
+def headcount_profiles(profiles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The part of each profile that headcounts need, sector assignment included."""
+    return learning_profiles(profiles, [*keep, "location"])
 
 
 def learning_profiles(profiles: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -66,6 +72,7 @@ def evidence_table(
     test_year: int = TEST_YEAR,
     k: int = TOP_K,
     normalize: bool = False,
+    sectors: Sequence[str] = SECTORS,
 ) -> DataFrame:
     """Models and test data of all sectors from one pass over the :func:`learning_profiles`.
 
@@ -78,7 +85,7 @@ def evidence_table(
     panel = profile_year_panel(features, start_year, end_year, position_fields=())
     rows = feature_rows(panel, top_tags, k)
     is_test = F.col("year") == test_year
-    usable = F.col("label").isNotNull() & F.col("sector").isin(SECTORS)
+    usable = F.col("label").isNotNull() & F.col("sector").isin(list(sectors))
     vector = [
         F.when(is_test, F.col(c)).alias(f"test_{c}") for c in ("connections", "experience", *tag_columns(k))
     ]
@@ -95,18 +102,20 @@ def predictions_from_evidence(
     test_year: int = TEST_YEAR,
     k: int = TOP_K,
     train_before_only: bool = False,
+    vocabulary_size: int = len(SECTORS),
+    tie_tolerance: float = TIE_TOLERANCE,
 ) -> DataFrame:
     """Voted class of each distinct test vector; ``n_rows`` people share it."""
     year = F.col("year")
     trained = evidence.filter(year < test_year if train_before_only else year != test_year)
-    models = sector_models(trained.withColumnRenamed("year", "model_year"))
+    models = written_table(sector_models(trained.withColumnRenamed("year", "model_year"), vocabulary_size))
     test = evidence.filter(year == test_year).select(
         "sector",
         "label",
         "n_rows",
         *[F.col(f"test_{c}").alias(c) for c in ("connections", "experience", *tag_columns(k))],
     )
-    return vote(test, models, k)
+    return vote(test, models, k, tie_tolerance)
 
 
 def evaluate_held_out_year(
@@ -119,12 +128,20 @@ def evaluate_held_out_year(
     k: int = TOP_K,
     positive: str = NO,
     train_before_only: bool = False,
+    normalize: bool = False,
+    sectors: Sequence[str] = SECTORS,
+    tie_tolerance: float = TIE_TOLERANCE,
 ) -> DataFrame:
-    """Profiles to (sector, test_size, actual_left, predict_left) for the test year."""
+    """Profiles to (sector, test_size, actual_left, predict_left) for the test year.
+
+    ``normalize`` looks up cleaned industries and skills, ``sectors`` are those with models.
+    """
     tag_sector, top_tags = tag_tables(profiles, industry_sector, batch, k)
-    assigned = assign_sector(learning_profiles(profiles), industry_sector, tag_sector)
-    evidence = evidence_table(assigned, top_tags, start_year, end_year, test_year, k)
-    predictions = predictions_from_evidence(evidence, test_year, k, train_before_only)
+    assigned = assign_sector(learning_profiles(profiles), industry_sector, tag_sector, normalize=normalize)
+    evidence = evidence_table(assigned, top_tags, start_year, end_year, test_year, k, normalize, sectors)
+    predictions = predictions_from_evidence(
+        evidence, test_year, k, train_before_only, len(sectors), tie_tolerance
+    )
     return sector_prediction_summary(predictions, positive, weight_col="n_rows")
 
 

@@ -11,7 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from careerloom.schema import POSITION_COLUMNS
 from careerloom.sources import profile_json_lines
@@ -21,15 +20,9 @@ START_YEAR, END_YEAR, TEST_YEAR = 1996, 2001, 2000
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One given table. Its schema is read from the file footers once per path."""
-    path = f"{folder}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    """One given table."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def people(spark: SparkSession, folder: str) -> DataFrame:
@@ -60,39 +53,34 @@ def position_rows(spark: SparkSession, folder: str) -> DataFrame:
     """(pid, pos, position columns)."""
     half = "(o_custkey div 2)"
     month = "lpad(CAST(month(o_orderdate) AS STRING), 2, '0')"
-    return (
-        table(spark, folder, "orders")
-        .filter("o_custkey % 2 = 0")
-        .selectExpr(
-            "o_orderkey div 10 AS pid",
-            "o_orderkey AS pos",
-            "concat('note ', o_orderkey) AS summary",
-            "o_orderpriority AS title",
-            f"""CASE WHEN {half} % 17 = 0 THEN NULL WHEN {half} % 31 = 1 THEN 'n/a'
-                     WHEN {half} % 5 = 0 THEN concat(year(o_orderdate), '/', {month}, '/01')
-                     ELSE concat(year(o_orderdate), '-', {month}, '-01') END AS start_date""",
-            f"""CASE WHEN o_orderstatus = 'O' AND {half} % 3 > 0 THEN NULL
-                     WHEN {half} % 37 = 2 THEN 'present'
-                     ELSE concat(year(o_orderdate) + CAST({half} % 4 AS INT) - 1, '-06-01') END AS end_date""",
-            "o_orderstatus = 'O' AS is_current",
-            f"CASE WHEN {half} % 19 = 3 THEN NULL ELSE concat('Company ', o_custkey % 50) END AS company_name",
-        )
+    return table(spark, folder, "orders").selectExpr(
+        "o_orderkey div 10 AS pid",
+        "o_orderkey AS pos",
+        "concat('note ', o_orderkey) AS summary",
+        "o_orderpriority AS title",
+        f"""CASE WHEN {half} % 17 = 0 THEN NULL WHEN {half} % 31 = 1 THEN 'n/a'
+                 WHEN {half} % 1009 = 7 THEN '12012-01-01'
+                 WHEN {half} % 5 = 0 THEN concat(year(o_orderdate), '/', {month}, '/01')
+                 ELSE concat(year(o_orderdate), '-', {month}, '-01') END AS start_date""",
+        f"""CASE WHEN o_orderstatus = 'O' AND {half} % 3 > 0 THEN NULL
+                 WHEN {half} % 37 = 2 THEN 'present'
+                 WHEN {half} % 1009 = 7 THEN '12013' WHEN {half} % 1009 = 12 THEN '2900-01-01'
+                 WHEN {half} % 1009 = 13 THEN '99999999999-01-01'
+                 ELSE concat(year(o_orderdate) + CAST({half} % 4 AS INT) - 1, '-06-01') END AS end_date""",
+        "o_orderstatus = 'O' AS is_current",
+        f"CASE WHEN {half} % 19 = 3 THEN NULL ELSE concat('Company ', o_custkey % 50) END AS company_name",
     )
 
 
 def skill_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """(pid, pos, skill)."""
-    return (
-        table(spark, folder, "lineitem")
-        .filter("l_linenumber = 1")
-        .selectExpr(
-            "l_orderkey div 10 AS pid",
-            "l_orderkey AS pos",
-            """CASE WHEN l_suppkey % 12 = 11 AND l_returnflag = 'R' THEN ' # '
-                    WHEN l_returnflag = 'A' THEN concat('C++ ', l_suppkey % 12)
-                    WHEN l_returnflag = 'N' THEN concat('R&D ', l_suppkey % 12)
-                    ELSE concat('Sales ', l_suppkey % 12) END AS skill""",
-        )
+    """(pid, pos, skill): pos is the order and the line, of which an order may have several with the same number."""
+    return table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey div 10 AS pid",
+        "struct(l_orderkey, l_linenumber) AS pos",
+        """CASE WHEN l_suppkey % 12 = 11 AND l_returnflag = 'R' THEN ' # '
+                WHEN l_returnflag = 'A' THEN concat('C++ ', l_suppkey % 12)
+                WHEN l_returnflag = 'N' THEN concat('R&D ', l_suppkey % 12)
+                ELSE concat('Sales ', l_suppkey % 12) END AS skill""",
     )
 
 
@@ -131,7 +119,8 @@ def sector_lines(spark: SparkSession, folder: str) -> DataFrame:
                 WHEN segment = 'BUILDING' THEN 'REAL_ESTATE'
                 WHEN segment = 'FURNITURE' THEN 'CONSUMER_PRODUCTS'
                 WHEN segment = 'HOUSEHOLD' THEN 'RETAIL_WHOLESALE'
-                WHEN r_name IN ('EUROPE', 'ASIA') THEN 'TECHNOLOGY' ELSE 'MANUFACTURING' END"""
+                WHEN r_name IN ('EUROPE', 'ASIA') THEN 'TECHNOLOGY'
+                WHEN r_name = 'AMERICA' THEN 'OFF_THE_LIST' ELSE 'MANUFACTURING' END"""
     )
     named = table(spark, folder, "region").select("r_regionkey", "r_name", segment)
     numbered = named.select(

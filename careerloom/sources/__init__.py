@@ -6,9 +6,11 @@ from careerloom.sources.lookups import (
     parse_tag_line,
     place_lookup,
     read_lines,
+    read_named_lines,
 )
 from careerloom.sources.outputs import (
     key_list_lines,
+    matching_paths,
     profile_json_lines,
     read_matching_files,
     scratch_folder,
@@ -35,12 +37,14 @@ __all__ = [
     "key_list_lines",
     "lookup_lists",
     "lookup_pairs",
+    "matching_paths",
     "model_load",
     "model_store",
     "parse_tag_line",
     "place_lookup",
     "profile_json_lines",
     "read_lines",
+    "read_named_lines",
     "read_matching_files",
     "read_profile_arrays",
     "read_profile_objects",

@@ -12,13 +12,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from careerloom.functions import split_fields
+from careerloom.sources.outputs import matching_paths
 
 
-def read_lines(spark: SparkSession, path: str, line_no_col: str = "line_no") -> DataFrame:
-    """Text lines with a number that follows the order of lines in each file."""
-    return spark.read.text(path).select(
-        F.monotonically_increasing_id().alias(line_no_col), F.col("value").alias("line")
+def read_lines(spark: SparkSession, path: str | list[str], line_no_col: str = "line_no") -> DataFrame:
+    """Text lines with a sort key that follows the names of files, and the order of lines in each file."""
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
     )
+    return spark.read.text(path).select(place.alias(line_no_col), F.col("value").alias("line"))
+
+
+def read_named_lines(spark: SparkSession, path: str, name: str, line_no_col: str = "line_no") -> DataFrame:
+    """Lines of the outputs in a folder whose name contains ``name``, or else of the path itself."""
+    found = matching_paths(spark, path, name)
+    return read_lines(spark, found or path, line_no_col)
 
 
 def _fields(lines: DataFrame, line_col: str, line_no_col: str) -> DataFrame:

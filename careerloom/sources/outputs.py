@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -13,17 +12,9 @@ from careerloom.schema import POSITION_JSON_NAMES, PROFILE_JSON_NAMES
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder under the cluster's shared ``spark.checkpoint.dir``.
-
-    Only a local session may go without that setting; it gets a folder of the
-    machine instead.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/careerloom-{uuid.uuid4().hex}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    return tempfile.mkdtemp(prefix="careerloom-")
+    """A new folder that all executors reach: in ``spark.checkpoint.dir``, or without it in the warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/careerloom-{uuid.uuid4().hex}"
 
 
 def written_table(df: DataFrame, folder: str | None = None) -> DataFrame:
@@ -90,15 +81,26 @@ def read_matching_files(
     format: str = "text",
     first_only: bool = False,
 ) -> DataFrame:
-    """All files of ``folder`` whose name contains ``pattern``, as one frame.
+    """The files and named outputs of ``folder`` whose name contains ``pattern``, as one frame.
 
-    ``first_only`` keeps the first such file by name.
+    A named output is a folder of files that were written together, as by
+    :func:`write_named_outputs`. ``first_only`` keeps the first match by name.
     """
-    glob = "*" + "".join("\\" + c if c in "*?[]{}\\" else c for c in pattern) + "*"
-    if not first_only:
-        return spark.read.format(format).option("pathGlobFilter", glob).load(folder)
-    names = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-    first = names.agg(F.min("path").alias("path")).first()["path"]
-    if first is None:
-        raise FileNotFoundError(f"no file in {folder} has {pattern!r} in its name")
-    return spark.read.format(format).load(first)
+    found = matching_paths(spark, folder, pattern)
+    if not found:
+        raise FileNotFoundError(f"nothing in {folder} has {pattern!r} in its name")
+    return spark.read.format(format).load(found[:1] if first_only else found)
+
+
+def _literal(name: str) -> str:
+    """A name in which no character is a wildcard."""
+    return "".join("\\" + c if c in "*?[]{}\\" else c for c in name)
+
+
+def matching_paths(spark: SparkSession, folder: str, pattern: str) -> list[str]:
+    """Paths of the files and named outputs directly in ``folder`` whose name contains ``pattern``, sorted, for ``load``."""
+    glob = f"*{_literal(pattern)}*"
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{glob}")
+    found = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(path) or []
+    paths = [status.getPath() for status in found]
+    return sorted(_literal(p.toString()) for p in paths if not p.getName().startswith(("_", ".")))

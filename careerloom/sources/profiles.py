@@ -38,11 +38,15 @@ def _parsed(line: Column, layout: str, columns: Iterable[str] | None) -> Column:
     """Array of the profiles on a line, or null when the line is malformed.
 
     A single object is read as a list of one: Spark turns a malformed list into
-    null, but a malformed object into a struct of nulls.
+    null, but a malformed object into a struct of nulls. A line that goes on after
+    its object is malformed.
     """
-    if layout == "object":
-        line = F.concat(F.lit("["), line, F.lit("]"))
-    return F.from_json(line, T.ArrayType(profile_json_schema(columns)), _JSON_OPTIONS)
+    kind = T.ArrayType(profile_json_schema(columns))
+    if layout != "object":
+        return F.from_json(line, kind, _JSON_OPTIONS)
+    listed = F.from_json(F.concat(F.lit("["), line, F.lit("]")), kind, _JSON_OPTIONS)
+    one = F.filter(F.array(listed), lambda p: (F.size(p) == 1) & F.endswith(strip_blanks(line), F.lit("}")))
+    return F.get(one, F.lit(0))
 
 
 def _profile_fields(profile: str, columns: Iterable[str] | None) -> list[Column]:

@@ -9,6 +9,15 @@ from pyspark.sql import functions as F
 
 from careerloom.functions import missing_sector
 
+MODELS = (
+    "model_year int, label string, n_rows bigint, mean_connections double, sd_connections double, "
+    "mean_experience double, sd_experience double, tag_counts array<bigint>, sector string"
+)
+YEAR_ROWS = (
+    "sector string, first_name string, last_name string, num_connections string, location string, "
+    "rel_experience int, last_title string, last_company string, load string, year int"
+)
+
 
 def model_store(models: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write the model table, one folder per sector.
@@ -19,30 +28,30 @@ def model_store(models: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def model_load(spark: SparkSession, path: str, sectors: Iterable[str] | None = None) -> DataFrame:
-    """Read the model table, or only the folders of the given sectors."""
-    models = spark.read.parquet(path).withColumn("sector", F.col("sector").cast("string"))
+    """Read the model table, or only the folders of the given sectors. A store without models has no rows."""
+    models = spark.read.schema(MODELS).parquet(path)
     return models if sectors is None else models.filter(F.col("sector").isin(list(sectors)))
 
 
-def year_store_write(rows: DataFrame, path: str) -> None:
-    """Write year-store rows, one folder per year.
+def year_store_write(rows: DataFrame, path: str, load: str = "all") -> None:
+    """Add year-store rows under the name of a load, one folder per load and year.
 
     The rebalance shuffle gives each year few, evenly sized files and splits a
-    year that is much larger than the others. Loading again replaces the years
-    written and leaves the others alone.
+    year that is much larger than the others. Other loads are left alone;
+    writing the same load again replaces all of it.
     """
     (
         rows.hint("rebalance", "year")
         .sortWithinPartitions("year", "sector")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year")
-        .parquet(path)
+        .parquet(f"{path}/load={load}")
     )
 
 
-def year_store_read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def year_store_read(spark: SparkSession, path: str, id_col: str = "pid", id_type: str = "bigint") -> DataFrame:
+    """The rows of all loads, with the name of their ``load``."""
+    return spark.read.schema(f"`{id_col}` {id_type}, {YEAR_ROWS}").parquet(path)
 
 
 def year_store_scan(store: DataFrame, year: int) -> DataFrame:

@@ -21,7 +21,7 @@ def clean(text: str) -> str:
 
 def year(date: str) -> str:
     head = f"split_part({date}, '-', 1)"
-    return f"CASE WHEN regexp_full_match({head}, '[+-]?0*[0-9]{{1,4}}') THEN CAST({head} AS BIGINT) END"
+    return f"CASE WHEN regexp_full_match({head}, '[+-]?[0-9]+') THEN CAST(TRY_CAST({head} AS INTEGER) AS BIGINT) END"
 
 
 BLOCKS = {
@@ -41,13 +41,13 @@ BLOCKS = {
                     ELSE CAST(CAST(floor(abs(c_acctbal) / 10) AS INT) AS VARCHAR) END AS num_connections
         FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey""",
     "skill": """
-        SELECT pid, row_number() OVER (PARTITION BY pid ORDER BY ord, skill) - 1 AS pos, skill
-        FROM (SELECT DISTINCT l_orderkey // 10 AS pid, l_orderkey AS ord,
+        SELECT pid, row_number() OVER (PARTITION BY pid ORDER BY ord, line, skill) - 1 AS pos, skill
+        FROM (SELECT DISTINCT l_orderkey // 10 AS pid, l_orderkey AS ord, l_linenumber AS line,
                      CASE WHEN l_suppkey % 12 = 11 AND l_returnflag = 'R' THEN ' # '
                           WHEN l_returnflag = 'A' THEN concat('C++ ', l_suppkey % 12)
                           WHEN l_returnflag = 'N' THEN concat('R&D ', l_suppkey % 12)
                           ELSE concat('Sales ', l_suppkey % 12) END AS skill
-              FROM lineitem WHERE l_linenumber = 1)
+              FROM lineitem)
         WHERE pid IN (SELECT pid FROM people)""",
     "position_raw": """
         SELECT pid, row_number() OVER (PARTITION BY pid ORDER BY ord) - 1 AS pos,
@@ -55,15 +55,19 @@ BLOCKS = {
         FROM (SELECT DISTINCT o_orderkey // 10 AS pid, o_orderkey AS ord,
                      concat('note ', o_orderkey) AS summary, o_orderpriority AS title,
                      CASE WHEN (o_custkey // 2) % 17 = 0 THEN NULL WHEN (o_custkey // 2) % 31 = 1 THEN 'n/a'
+                          WHEN (o_custkey // 2) % 1009 = 7 THEN '12012-01-01'
                           WHEN (o_custkey // 2) % 5 = 0 THEN strftime(o_orderdate, '%Y/%m/01')
                           ELSE strftime(o_orderdate, '%Y-%m-01') END AS start_date,
                      CASE WHEN o_orderstatus = 'O' AND (o_custkey // 2) % 3 > 0 THEN NULL
                           WHEN (o_custkey // 2) % 37 = 2 THEN 'present'
+                          WHEN (o_custkey // 2) % 1009 = 7 THEN '12013'
+                          WHEN (o_custkey // 2) % 1009 = 12 THEN '2900-01-01'
+                          WHEN (o_custkey // 2) % 1009 = 13 THEN '99999999999-01-01'
                           ELSE concat(year(o_orderdate) + (o_custkey // 2) % 4 - 1, '-06-01') END AS end_date,
                      o_orderstatus = 'O' AS is_current,
                      CASE WHEN (o_custkey // 2) % 19 = 3 THEN NULL
                           ELSE concat('Company ', o_custkey % 50) END AS company_name
-              FROM orders WHERE o_custkey % 2 = 0)
+              FROM orders)
         WHERE pid IN (SELECT pid FROM people)""",
     "lookup": """
         SELECT concat(segment, ' & ', r_name) AS industry,
@@ -72,7 +76,8 @@ BLOCKS = {
                     WHEN segment = 'BUILDING' THEN 'REAL_ESTATE'
                     WHEN segment = 'FURNITURE' THEN 'CONSUMER_PRODUCTS'
                     WHEN segment = 'HOUSEHOLD' THEN 'RETAIL_WHOLESALE'
-                    WHEN r_name IN ('EUROPE', 'ASIA') THEN 'TECHNOLOGY' ELSE 'MANUFACTURING' END AS sector
+                    WHEN r_name IN ('EUROPE', 'ASIA') THEN 'TECHNOLOGY'
+                    WHEN r_name = 'AMERICA' THEN 'OFF_THE_LIST' ELSE 'MANUFACTURING' END AS sector
         FROM region,
              (SELECT unnest(['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY']) AS segment)""",
     "place": """
@@ -355,9 +360,9 @@ SELECTS = {
         SELECT count(*) AS n_rows, count(DISTINCT pid) AS n_profiles FROM panel JOIN assigned USING (pid)
         WHERE sector IS NULL""",
     "year_store_row_count": "SELECT count(*) AS n_rows FROM store",
-    "sector_year_order": f"""
+    "sector_year_order": """
         SELECT pid, sector, year, dense_rank() OVER (PARTITION BY sector ORDER BY year) AS group_no
-        FROM panel JOIN assigned USING (pid) WHERE sector IN ({VOCABULARY})""",
+        FROM panel JOIN assigned USING (pid) WHERE sector IS NOT NULL""",
     "label_multi_position": "SELECT pid, year, label FROM label",
     "feature_rows": f"""
         SELECT pid, sector, year, connections, experience,
@@ -378,7 +383,7 @@ SELECTS = {
                count(*) FILTER (label IS NOT NULL AND predicted = 'NO') AS predict_left
         FROM voted GROUP BY sector""",
 }
-SELECTS["predict_end_to_end"] = SELECTS["sector_prediction_summary"]
+SELECTS["predict_pipeline"] = SELECTS["sector_prediction_summary"]
 
 
 def _needed(text: str, found: set[str]) -> None:

@@ -68,6 +68,15 @@ class Inputs:
     def assigned(self) -> DataFrame:
         return op.assign_sector(self.learning_table, self.sector_lookup, self.tag_tables[0])
 
+    @cached_property
+    def headcount_people(self) -> DataFrame:
+        """Pruned profiles with what headcounts need; the text of positions is not read."""
+        dated = tables.profiles(self.spark, self.folder, ["start_date", "end_date"])
+        narrow = sources.written_table(jobs.headcount_profiles(dated, keep=["batch"]))
+        tag_sector, _ = jobs.tag_tables(narrow, self.sector_lookup)
+        assigned = op.assign_sector(narrow, self.sector_lookup, tag_sector)
+        return assigned.withColumn("industry", F.col("sector"))
+
     @cached_property
     def pruned(self) -> DataFrame:
         profiles = self.profile_table
@@ -89,7 +98,7 @@ class Inputs:
     @cached_property
     def test_rows_and_models(self) -> tuple[DataFrame, DataFrame]:
         train, test = op.split_by_year(sources.written_table(self.features), TEST_YEAR)
-        return test, op.sector_models(op.train_sector_year_nb(train))
+        return test, sources.written_table(op.sector_models(op.train_sector_year_nb(train)))
 
     @cached_property
     def predictions(self) -> DataFrame:
@@ -512,13 +521,12 @@ def position_year_counts(x: Inputs) -> DataFrame:
 
 @query
 def sector_country_active(x: Inputs) -> DataFrame:
-    return headcount_report(x.pruned, x.places, TEST_YEAR, *YEARS)
+    return headcount_report(x.headcount_people, x.places, TEST_YEAR, *YEARS)
 
 
 @query
 def sector_country_span(x: Inputs) -> DataFrame:
-    rows = op.year_store_rows(x.pruned, start_year=START_YEAR, end_year=END_YEAR)
-    return op.sector_country_span(rows, x.places, TEST_YEAR)
+    return op.sector_country_spanning(x.headcount_people, x.places, TEST_YEAR, "industry", *YEARS)
 
 
 @query
@@ -604,7 +612,7 @@ def sector_prediction_summary(x: Inputs) -> DataFrame:
 
 
 @query
-def predict_end_to_end(x: Inputs) -> DataFrame:
+def predict_pipeline(x: Inputs) -> DataFrame:
     return evaluate_held_out_year(
         x.learning_table,
         x.sector_lookup,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -15,8 +17,7 @@ def local_session(cores: int, checkpoint_dir: str | None = None) -> SparkSession
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
-    if checkpoint_dir:
-        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    builder = builder.config("spark.checkpoint.dir", checkpoint_dir or tempfile.mkdtemp(prefix="careerloom-"))
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     return session

@@ -56,12 +56,13 @@ def test_jobs(spark, profiles, tmp_path):
 
     plans.tag_sector_files(spark, at("tags"), at("sectors.csv"), at("job2"))
     missing = plans.data_model_files(
-        spark, at("raw"), at("sectors.csv"), at("job2/tagsector"), at("job2/toptags"), at("job3"), **YEARS, test_year=2000
+        spark, at("raw"), at("sectors.csv"), at("job2"), at("job2"), at("job3"), **YEARS, test_year=2000
     )
     assert missing.first()["n_profiles"] == 0  # every profile has a skill with a sector
     assert spark.read.text(at("job3/pruneddata")).count() == 120
+    assert [r["reason"] for r in spark.read.json(at("job3/raw_rejected")).collect()].count("malformed") == 1
 
-    confusion = plans.predictor_files(spark, at("job3/testdata"), at("job3/models"), at("job2/toptags"), at("job4"))
+    confusion = plans.predictor_files(spark, at("job3/testdata"), at("job3/models"), at("job2"), at("job4"))
     lookup = sources.lookup_pairs(sources.read_lines(spark, at("sectors.csv")), "industry", "sector")
     expected = plans.evaluate_held_out_year(df, lookup, batch=(), **YEARS, test_year=2000)
     assert rows(spark.read.text(at("job4"))) == [(",".join(str(v) for v in r),) for r in rows(expected)]

@@ -35,7 +35,7 @@ def test_connections(spark):
     ("text", "year"),
     [
         ("2008-02-01", 2008), ("2008", 2008), ("abc", None), ("", None), ("2008 ", None), ("-5-01", None),
-        ("+2008-1", 2008), ("2008/02/01", None), (None, None), ("02008", 2008), ("20080201", None),
+        ("+2008-1", 2008), ("2008/02/01", None), (None, None), ("02008", 2008), ("20080201", 20080201),
         ("99999999999", None), ("20 08", None), ("2008\n", None), ("0", 0), ("2008-", 2008),
     ],
 )

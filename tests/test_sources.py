@@ -152,22 +152,37 @@ def test_profile_json_leaves_out_nulls(spark, profiles):
     ]
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
-    class Conf:
+def test_scratch_folder_is_shared():
+    class Session:
         def __init__(self, values):
-            self.values = values
+            self.conf = values
 
-        def get(self, key, default=None):
-            return self.values.get(key, default)
+    both = {"spark.checkpoint.dir": "s3a://bucket/x/", "spark.sql.warehouse.dir": "hdfs://h/w"}
+    assert sources.scratch_folder(Session(both)).startswith("s3a://bucket/x/careerloom-")
+    del both["spark.checkpoint.dir"]
+    assert sources.scratch_folder(Session(both)).startswith("hdfs://h/w/careerloom-")
+
+
+def test_lines_of_several_files_follow_their_names(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,a\n")
+    (tmp_path / "b.csv").write_text("k,b\n" + "x,1\n" * 5000)
+    assert dict(rows(sources.lookup_pairs(sources.read_lines(spark, str(tmp_path)))))["k"] == "b"
 
-    class Session:
-        def __init__(self, **values):
-            self.conf = Conf({k.replace("_", "."): v for k, v in values.items()})
 
-    shared = sources.scratch_folder(Session(spark_checkpoint_dir="s3a://bucket/x/", spark_master="yarn"))
-    assert shared.startswith("s3a://bucket/x/careerloom-")
-    with pytest.raises(RuntimeError):
-        sources.scratch_folder(Session(spark_master="yarn"))
+def test_a_line_holds_one_object(spark):
+    one, two, more = json.dumps(WHOLE), json.dumps(WHOLE) + "," + json.dumps(WHOLE), json.dumps(WHOLE) + "]]x"
+    df = lines(spark, one, two, more)
+    assert sources.read_profile_objects(df).count() == 1
+    assert rows(sources.rejected_lines(df, layout="object")) == sorted([(two, "malformed"), (more, "malformed")], key=repr)
+
+
+def test_matching_finds_named_outputs(spark, tmp_path):
+    df = spark.createDataFrame([("x",)], "value string")
+    sources.write_named_outputs({"toptags": df, "tagsector": df.union(df)}, str(tmp_path))
+    assert sources.read_matching_files(spark, str(tmp_path), "toptags").count() == 1
+    assert sources.read_matching_files(spark, str(tmp_path), "tag", first_only=True).count() == 2
+    assert sources.read_named_lines(spark, str(tmp_path), "toptags").count() == 1
+    assert sources.read_named_lines(spark, str(tmp_path / "tagsector"), "tagsector").count() == 2
 
 
 def store_rows(spark, profiles):
@@ -183,10 +198,15 @@ def store_rows(spark, profiles):
 def test_year_store(spark, profiles, tmp_path):
     path = str(tmp_path / "years")
     stored = store_rows(spark, profiles)
-    sources.year_store_write(stored, path)
-    sources.year_store_write(stored.filter("year = 2000"), path)  # loading again replaces, never doubles
+    sources.year_store_write(stored, path, "one")
+    sources.year_store_write(stored, path, "one")  # loading again replaces, never doubles
     back = sources.year_store_read(spark, path)
     assert back.count() == stored.count() == 7
+    sources.year_store_write(stored.filter("year = 2000"), path, "two")  # another load is added
+    both = sources.year_store_read(spark, path)
+    assert rows(both.groupBy("load").count()) == [("one", 7), ("two", stored.filter("year = 2000").count())]
+    sources.year_store_write(stored.limit(0), path, "two")
+    assert sources.year_store_read(spark, path).count() == 7
     scan = sources.year_store_scan(back, 2002)
     plan = scan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan
@@ -198,13 +218,15 @@ def test_year_store(spark, profiles, tmp_path):
 
 
 def test_model_store_reads_wanted_sectors(spark, tmp_path):
-    models = spark.createDataFrame([("A", 2000, 1), ("B", 2000, 2)], "sector string, model_year int, n_rows int")
+    models = spark.createDataFrame([("A", 2000, 1), ("B", 2000, 2)], "sector string, model_year int, n_rows bigint")
     path = str(tmp_path / "m")
     sources.model_store(models, path)
     only = sources.model_load(spark, path, ["A"])
     assert rows(only.select("sector", "n_rows")) == [("A", 1)]
     assert "PartitionFilters: [" in only._jdf.queryExecution().executedPlan().toString()
     assert sources.model_load(spark, path).count() == 2
+    sources.model_store(models.limit(0), path)
+    assert sources.model_load(spark, path, ["A"]).count() == 0
 
 
 def test_read_then_write_json_is_stable(spark):
