@@ -42,6 +42,8 @@ def digest_state(entries: DataFrame, path: str) -> DataFrame:
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "128")
+    # Stores of a finished stream give their memory back soon.
+    session.conf.set("spark.sql.streaming.stateStore.maintenanceInterval", "5s")
     # Many small stores would each claim megabytes of disk ahead of need.
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")

@@ -184,7 +184,12 @@ def group_links(table: pa.Table) -> pa.Table:
     group = Group(table)
     lists = table.column("shingles").combine_chunks()
     ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-    pairs = [(int(-s), i, int(j)) for i in range(len(group.node)) for j, s in zip(*group.partners(i), strict=True)]
+    pairs = []
+    for i in range(len(group.node)):
+        j, same = group.partners(i)
+        pairs.append(np.stack([np.full(len(j), i), j, same]).astype(np.int32))
+    pairs = np.concatenate(pairs, axis=1)
+    pairs = pairs[:2, np.lexsort((pairs[1], pairs[0], -pairs[2]))]
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -193,7 +198,7 @@ def group_links(table: pa.Table) -> pa.Table:
         return x
 
     a, b = [], []
-    for _, i, j in sorted(pairs):  # the likeliest first; what is joined already needs no further link
+    for i, j in pairs.T:  # the likeliest first; what is joined already needs no further link
         low, high = sorted((find(int(group.part[i])), find(int(group.part[j]))))
         if low == high:
             continue

@@ -12,7 +12,6 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +25,8 @@ OPEN_BINS = 512
 END_ID = 2
 #: Pieces that one packer takes up, about.
 PACKER_PIECES = 1 << 17
-#: Ids of so many distinct pre-tokens are remembered by a worker before it starts anew.
-MEMORY = 400_000
+#: Ids of so many distinct pre-tokens are remembered by a task before it starts anew.
+MEMORY = 200_000
 
 #: Characters for which the pattern below splits a text as the tokenizer does: ASCII but for the
 #: separators 0x1C-0x1F, and Latin letters. Other texts are given to the tokenizer whole.
@@ -80,12 +79,6 @@ class Encoder:
         return b"".join(map(self.known.__getitem__, SPLIT.findall(text)))
 
 
-@lru_cache(maxsize=1)
-def encoder_of(path: str) -> Encoder:
-    """One encoder for the tasks of a worker process."""
-    return Encoder(path)
-
-
 def cut(count: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of count tokens; the first may be shorter than the others, which are full."""
     first = count % capacity or min(count, capacity)
@@ -131,7 +124,7 @@ def pieces(
     """Rows (id, piece, start, length, ids_crc32), with ids=True also the token ids as bytes."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = encoder_of(tokenizer), np.array([END_ID], "<u4").tobytes()
+        encoder, end = Encoder(tokenizer), np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             at, rows = [], []
             for i, text in enumerate(batch.column("text")):
