@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterable
+from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -91,11 +93,19 @@ def located(docs: DataFrame, columns: Iterable[Column], file: str = "at_file", r
     return docs.select(*columns, place["file_path"].alias(file), place["row_index"].alias(row))
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Give Python workers fewer rows at once: at Spark's default, a batch of long texts takes many megabytes."""
+def prepare(spark: SparkSession) -> None:
+    """Ready a session for the Python workers of these operators.
+
+    They get fewer rows at once (at Spark's default, a batch of long texts takes many megabytes), and
+    import this library from where the driver did, if they find it there.
+    """
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(name)) > 1000:
         spark.conf.set(name, "1000")
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [root])
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -19,14 +19,14 @@ from careerloom.llm import (
     sharding,
     warc,
 )
-from careerloom.llm.common import remainder, small_batches, table
+from careerloom.llm.common import prepare, remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn):
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        small_batches(spark)
+        prepare(spark)
         return fn(spark, folder)
 
     QUERIES[fn.__name__] = run

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from careerloom.llm import decontaminate, exact_dedup, language_id, minhash, packing
-from careerloom.llm.common import remainder, small_batches, table, written
+from careerloom.llm.common import prepare, remainder, table, written
 from careerloom.llm.queries import public_tokenizer
 
 ORACLE_SQL = None  # language identification can't be written in SQL
@@ -19,7 +19,7 @@ ORACLE_SQL = None  # language identification can't be written in SQL
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known: they have letters, and one language is likelier than all others together."""
-    small_batches(spark)
+    prepare(spark)
     model = language_id.fit(docs.filter(remainder(F.col("doc_id"), 5) != 0))
     return language_id.keep_known(docs, *model)
 
@@ -31,6 +31,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that shingles of five words link, the one with the smallest doc_id."""
+    prepare(spark)
     return minhash.keep_one(docs)
 
 
@@ -41,6 +42,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of 1024 tokens."""
+    prepare(spark)
     packed = packing.pack(docs, public_tokenizer("byte_bpe_50k.json"))
     return packed.withColumnRenamed("id", "doc_id")
 
