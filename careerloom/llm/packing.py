@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from careerloom.llm.common import written
 
 CAPACITY = 1024
-OPEN_BINS = 512
+OPEN_BINS = 1 << 17
 END_ID = 2
 #: Pieces that one packer takes up, about.
 PACKER_PIECES = 1 << 17
@@ -177,7 +177,8 @@ def pack(
                 names=[*batch.schema.names, "sequence_id", "offset"],
             )
 
-    order = F.xxhash64("id", "piece", "ids_crc32", "start", "length")
-    dealt = table.repartition(packers, F.col("id"), F.col("piece"), F.col("ids_crc32")).sortWithinPartitions(order)
+    # Long pieces come first: they leave the gaps that short ones fill.
+    order = [F.col("length").desc(), F.xxhash64("id", "piece", "ids_crc32", "start")]
+    dealt = table.repartition(packers, F.col("id"), F.col("piece"), F.col("ids_crc32")).sortWithinPartitions(*order)
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema)
     return dealt.mapInArrow(place, f"{fields}, sequence_id bigint, offset bigint")
