@@ -43,7 +43,8 @@ BLOCKS = {
     "skill": """
         SELECT pid, row_number() OVER (PARTITION BY pid ORDER BY ord, line, skill) - 1 AS pos, skill
         FROM (SELECT DISTINCT l_orderkey // 10 AS pid, l_orderkey AS ord, l_linenumber AS line,
-                     CASE WHEN l_suppkey % 12 = 11 AND l_returnflag = 'R' THEN ' # '
+                     CASE WHEN (l_orderkey // 10) % 35 = 0 THEN concat('Rare ', l_orderkey // 10)
+                          WHEN l_suppkey % 12 = 11 AND l_returnflag = 'R' THEN ' # '
                           WHEN l_returnflag = 'A' THEN concat('C++ ', l_suppkey % 12)
                           WHEN l_returnflag = 'N' THEN concat('R&D ', l_suppkey % 12)
                           ELSE concat('Sales ', l_suppkey % 12) END AS skill
@@ -61,7 +62,7 @@ BLOCKS = {
                      CASE WHEN o_orderstatus = 'O' AND (o_custkey // 2) % 3 > 0 THEN NULL
                           WHEN (o_custkey // 2) % 37 = 2 THEN 'present'
                           WHEN (o_custkey // 2) % 1009 = 7 THEN '12013'
-                          WHEN (o_custkey // 2) % 1009 = 12 THEN '2900-01-01'
+                          WHEN (o_custkey // 2) % 1009 = 12 THEN '2050-01-01'
                           WHEN (o_custkey // 2) % 1009 = 13 THEN '99999999999-01-01'
                           ELSE concat(year(o_orderdate) + (o_custkey // 2) % 4 - 1, '-06-01') END AS end_date,
                      o_orderstatus = 'O' AS is_current,
