@@ -1,15 +1,9 @@
-from __future__ import annotations
+"""Documents for the tests of this folder."""
 
-import sys
-from pathlib import Path
+from __future__ import annotations
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
-sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
-
-TESTDATA = "/root/testdata/sf0.001"
-
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string, shard string, size string, id string"
 
 
@@ -23,10 +17,3 @@ def documents(spark):
         )
 
     return build
-
-
-@pytest.fixture(scope="session")
-def spark():
-    from registry.session import local_session
-
-    return local_session(4)

@@ -7,6 +7,7 @@ import random
 import re
 from itertools import combinations
 
+from llm_fixtures import documents  # noqa: F401
 from pyspark.sql import functions as F
 
 from careerloom.llm import exact_dedup, minhash

@@ -14,6 +14,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from llm_fixtures import documents  # noqa: F401
 from pyspark.sql import functions as F
 
 from careerloom.llm import packing, sharding, warc

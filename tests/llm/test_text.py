@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from llm_fixtures import documents  # noqa: F401
 from pyspark.sql import functions as F
 
 from careerloom.llm import decontaminate, language_id, language_model, licenses, quality
