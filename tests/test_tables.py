@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from careerloom import operators as op
 from careerloom.functions import date_year
-from careerloom.plans import tables
+from careerloom.plans import jobs, tables
+from careerloom.plans.tables import TEST_YEAR
 from careerloom.schema import SECTORS
+from registry.queries import QUERIES, YEARS, Inputs
 
 
 @pytest.fixture(scope="module")
@@ -50,26 +52,41 @@ def test_order_holds_every_sector(spark):
     assert {r["group_no"] for r in ordered.collect()} == {1, 2, 3}
 
 
-def test_people_are_not_shuffled_by_sector(spark):
-    """The table of top tags is small, whatever the size of the counts it comes from."""
-    from careerloom.plans import jobs
-
+@pytest.fixture
+def low_limit(spark):
+    """Spark broadcasts tables of a few rows only."""
     limit = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(limit)
     spark.conf.set(limit, "20000")
-    try:
-        people = spark.range(40000).select(
-            F.col("id").alias("pid"),
-            F.concat(F.lit("i"), F.col("id") % 9).alias("industry"),
-            F.array(F.concat(F.lit("s"), F.col("id"))).alias("skills"),
-        )
-        lookup = spark.createDataFrame([(f"i{i}", SECTORS[i]) for i in range(9)], "industry string, sector string")
-        _, top_tags = jobs.tag_tables(people, lookup, batch=())
-        joined = op.attach_top_tags(people.withColumn("sector", F.col("industry")), top_tags)
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
-    finally:
-        spark.conf.set(limit, before)
+    yield
+    spark.conf.set(limit, before)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_people_are_not_shuffled_by_sector(spark, low_limit):
+    """The table of top tags is small, whatever the size of the counts it comes from."""
+    people = spark.range(40000).select(
+        F.col("id").alias("pid"),
+        F.concat(F.lit("i"), F.col("id") % 9).alias("industry"),
+        F.array(F.concat(F.lit("s"), F.col("id"))).alias("skills"),
+    )
+    lookup = spark.createDataFrame([(f"i{i}", SECTORS[i]) for i in range(9)], "industry string, sector string")
+    _, top_tags = jobs.tag_tables(people, lookup, batch=())
+    plan = plan_of(op.attach_top_tags(people.withColumn("sector", F.col("industry")), top_tags))
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_test_rows_are_not_shuffled_by_sector(spark, low_limit, everyone):
+    """Nor are they in the whole job: models come to the test rows."""
+    assert "hashpartitioning(sector" not in plan_of(QUERIES["vote"](spark, TESTDATA))
+    lookup = Inputs(spark, TESTDATA).sector_lookup
+    tag_sector, top_tags = jobs.tag_tables(everyone, lookup)
+    assigned = op.assign_sector(jobs.learning_profiles(everyone), lookup, tag_sector)
+    evidence = jobs.evidence_table(assigned, top_tags, *YEARS, TEST_YEAR)
+    assert "hashpartitioning" not in plan_of(jobs.predictions_from_evidence(evidence, TEST_YEAR))
 
 
 def test_locations_are_resolved_once(spark):
