@@ -64,7 +64,7 @@ def position_rows(spark: SparkSession, folder: str) -> DataFrame:
                  ELSE concat(year(o_orderdate), '-', {month}, '-01') END AS start_date""",
         f"""CASE WHEN o_orderstatus = 'O' AND {half} % 3 > 0 THEN NULL
                  WHEN {half} % 37 = 2 THEN 'present'
-                 WHEN {half} % 1009 = 7 THEN '12013' WHEN {half} % 1009 = 12 THEN '2050-01-01'
+                 WHEN {half} % 1009 = 12 THEN '2050-01-01'
                  WHEN {half} % 1009 = 13 THEN '99999999999-01-01'
                  ELSE concat(year(o_orderdate) + CAST({half} % 4 AS INT) - 1, '-06-01') END AS end_date""",
         "o_orderstatus = 'O' AS is_current",

@@ -61,7 +61,6 @@ BLOCKS = {
                           ELSE strftime(o_orderdate, '%Y-%m-01') END AS start_date,
                      CASE WHEN o_orderstatus = 'O' AND (o_custkey // 2) % 3 > 0 THEN NULL
                           WHEN (o_custkey // 2) % 37 = 2 THEN 'present'
-                          WHEN (o_custkey // 2) % 1009 = 7 THEN '12013'
                           WHEN (o_custkey // 2) % 1009 = 12 THEN '2050-01-01'
                           WHEN (o_custkey // 2) % 1009 = 13 THEN '99999999999-01-01'
                           ELSE concat(year(o_orderdate) + (o_custkey // 2) % 4 - 1, '-06-01') END AS end_date,
