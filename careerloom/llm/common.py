@@ -31,13 +31,12 @@ def word_hashes(text: Column) -> Column:
 
 
 def shingles(words_: Column, width: int, value) -> Column:
-    """value(slice) of each run of width words; a shorter text is one run, an empty one none."""
+    """value(slice) of each run of width words; a shorter text is one run, one without words is null."""
     count = F.size(words_)
     starts = F.when(count >= width, F.sequence(F.lit(1), count - F.lit(width - 1))).when(
         count > 0, F.array(F.lit(1))
     )
-    runs = F.transform(starts, lambda i: value(F.slice(words_, i, width)))
-    return F.coalesce(runs, F.array().cast("array<string>") if value is joined else F.array().cast("array<bigint>"))
+    return F.transform(starts, lambda i: value(F.slice(words_, i, width)))
 
 
 def joined(run: Column) -> Column:

@@ -10,6 +10,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from llm_fixtures import documents  # noqa: F401
 from test_dedup import brute_groups, lower
 from test_layout import ENCODER
 from test_text import brute_items, brute_scores
@@ -170,6 +171,26 @@ def test_stages_keep_the_columns(spark):
         assert stage(spark, docs, FOLDER).columns == docs.columns
 
 
+def test_stages_take_odd_rows(spark, documents):
+    """Nulls in every column, empty, blank and very long texts, ties, repeated rows, clashing columns."""
+    plain = "the words of this text are known to be of one language and no other"
+    long = " ".join(f"word{i} and" for i in range(30_000))
+    rows = [(i, f"{plain} number{i} " + "these those " * (i % 7), "en") for i in range(40)] + [
+        (100, None), (None, None), (101, ""), (102, " \n\t"), (103, "12 %% 34"), (104, long, "en"), (105, long.upper(), "en"),
+        (106, plain, "en"), (106, plain, "en"), (None, plain + " null", None),
+    ]
+    docs, seen = documents(*rows), []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, FOLDER).cache()
+        seen.append({(r["doc_id"], r["text"]) for r in docs.collect()})
+        assert len(seen[-1]) == docs.count() or len(seen) == 1
+    assert not {100, 101, 102, 103} & {i for i, _ in seen[0]}
+    assert (104, long) in seen[0] and (104, long) not in seen[1] and (105, long.upper()) in seen[3]
+    assert any(i is None for i, _ in seen[1])
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).toPandas()
+    assert packed.groupby("sequence_id").length.sum().max() <= 1024 and packed.length.sum() > 60_000
+
+
 def test_stages_take_an_empty_table(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
