@@ -55,7 +55,6 @@ def contained_items(
     Null and blank texts contain nothing and are contained nowhere. Rows with equal ids count as one
     document that holds what any one of its rows contains; null ids are such an id. Other columns aren't read.
     """
-    spark = docs.sparkSession
     items = written(item_table(items, item_col, "text", width), "bench-items")
     sketch = written(
         items.select("item_id", "width", F.explode("minima").alias("hash")).distinct(), "bench-sketch"
@@ -63,7 +62,7 @@ def contained_items(
     # At most `width` numbers.
     widths = [r["width"] for r in items.select("width").distinct().collect()]
     if not widths:
-        return empty(docs, items, id_col)
+        return no_pairs(docs, items, id_col)
 
     texts = docs.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("words"))
     seen = None
@@ -95,9 +94,11 @@ def contained_items(
     )
 
 
-def empty(docs: DataFrame, items: DataFrame, id_col: str) -> DataFrame:
-    return docs.sparkSession.createDataFrame([], f"id {docs.schema[id_col].dataType.simpleString()}, "
-        f"item_id {items.schema['item_id'].dataType.simpleString()}, n_shared bigint, n_item bigint, containment double")
+def no_pairs(docs: DataFrame, items: DataFrame, id_col: str) -> DataFrame:
+    document, item = (t.schema[c].dataType.simpleString() for t, c in ((docs, id_col), (items, "item_id")))
+    return docs.sparkSession.createDataFrame(
+        [], f"id {document}, item_id {item}, n_shared bigint, n_item bigint, containment double"
+    )
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

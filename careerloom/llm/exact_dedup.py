@@ -30,11 +30,17 @@ def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
-def digest_state(entries: DataFrame, path: str) -> DataFrame:
+def by_digest(entries: DataFrame) -> DataFrame:
+    return entries.groupBy("digest").agg(
+        F.count("*").alias("group_size"), F.max(F.struct("id", "at_file", "at_row")).alias("keep")
+    )
+
+
+def digest_state(entries: DataFrame, path: str, checkpoint: str | None = None) -> DataFrame:
     """Stream entries (digest, id, at_file, at_row) stored at path through keyed state; return the state.
 
-    Columns: digest, group_size, keep (id, at_file, at_row). The stream resumes from its
-    checkpoint, so a run that is started again takes up only new files.
+    Columns: digest, group_size, keep (id, at_file, at_row). With the checkpoint folder of an earlier
+    run, the stream takes up only files that are new at path and adds to the state it has.
     """
     spark = entries.sparkSession
     session = spark.newSession()
@@ -48,10 +54,8 @@ def digest_state(entries: DataFrame, path: str) -> DataFrame:
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     stream = session.readStream.schema(entries.schema).option("maxBytesPerTrigger", str(BATCH_BYTES)).parquet(path)
-    state = stream.groupBy("digest").agg(
-        F.count("*").alias("group_size"), F.max(F.struct("id", "at_file", "at_row")).alias("keep")
-    )
-    checkpoint = shared_folder(spark, "dedup-state")
+    state = by_digest(stream)
+    checkpoint = checkpoint or shared_folder(spark, "dedup-state")
     running = (
         state.writeStream.outputMode("update")
         .format("noop")
@@ -60,10 +64,8 @@ def digest_state(entries: DataFrame, path: str) -> DataFrame:
         .start()
     )
     running.awaitTermination()
-    if not running.lastProgress:  # no row, hence no batch and no state
-        return spark.createDataFrame([], entries.groupBy("digest").agg(
-            F.count("*").alias("group_size"), F.max(F.struct("id", "at_file", "at_row")).alias("keep")
-        ).schema)
+    if not running.lastProgress:  # nothing new, hence no batch
+        return by_digest(entries)
     stored = session.read.format("statestore").load(checkpoint)
     count, keep = (F.col("value").getField(f.name) for f in stored.schema["value"].dataType.fields)
     stored = stored.select(F.col("key")["digest"].alias("digest"), count.alias("group_size"), keep.alias("keep"))
@@ -105,16 +107,12 @@ def exact_dedup(
     split = not differ.isEmpty()
     if split:
         groups = groups.join(differ, "digest", "left_anti")
-    by_digest = entries.join(groups, "digest").select(
-        "id", "keep", "group_size", "digest", "at_file", "at_row"
-    )
+    placed = entries.join(groups, "digest").select("id", "keep", "group_size", "digest", "at_file", "at_row")
     if split:
         apart = hits.join(differ, "digest", "left_semi").drop("keep", "group_size")
         groups = apart.groupBy("digest", "text").agg(F.count("*").alias("group_size"), F.max(place).alias("keep"))
-        by_digest = by_digest.unionByName(
-            apart.join(groups, ["digest", "text"]).select(*by_digest.columns)
-        )
-    return by_digest.select(
+        placed = placed.unionByName(apart.join(groups, ["digest", "text"]).select(*placed.columns))
+    return placed.select(
         "id",
         F.col("keep.id").alias("keep_id"),
         "group_size",

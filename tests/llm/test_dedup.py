@@ -82,6 +82,20 @@ def test_stream_adds_to_its_state(spark, documents, tmp_path):
     ]
 
 
+def test_state_outlives_a_run(spark, documents, tmp_path):
+    """A later run takes up the files that are new, and its hits meet what the earlier one kept."""
+    path, checkpoint = str(tmp_path / "entries"), str(tmp_path / "state")
+    columns = ["doc_id AS id", "text AS digest", "'f' AS at_file", "doc_id AS at_row"]
+    documents((1, "a"), (2, "b")).selectExpr(*columns).write.parquet(path)
+    first = exact_dedup.digest_state(spark.read.parquet(path), path, checkpoint)
+    assert sorted((r["digest"], r["group_size"], r["keep"]["id"]) for r in first.collect()) == [("a", 1, 1), ("b", 1, 2)]
+    documents((5, "a"), (6, "c")).selectExpr(*columns).write.mode("append").parquet(path)
+    later = exact_dedup.digest_state(spark.read.parquet(path), path, checkpoint)
+    assert sorted((r["digest"], r["group_size"], r["keep"]["id"]) for r in later.collect()) == [
+        ("a", 2, 5), ("b", 1, 2), ("c", 1, 6),
+    ]
+
+
 def shingle_set(text, width):
     words = WORD.findall(lower(text))
     if not words:
