@@ -33,9 +33,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges = edges.filter("a != b").select("a", "b")
     while True:
         edges = written(small_star(large_star(edges)), "star")
-        # Done when every edge leads to a root, that is, to a node from which none leads on.
+        # Done when every edge leads to a root, that is, to a node from which none leads on, and no node has
+        # edges to two roots: their components are one.
         roots = edges.select(F.col("b").alias("a")).distinct()
-        if edges.select("a").join(roots, "a", "left_semi").isEmpty():
+        if not edges.select("a").join(roots, "a", "left_semi").isEmpty():
+            continue
+        if edges.groupBy("a").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
             break
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return written(edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots), "parts")

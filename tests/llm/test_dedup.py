@@ -179,3 +179,34 @@ def test_components(spark):
             root[high] = low
     assert got == {x: find(x) for e in edges if e[0] != e[1] for x in e}
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_components_of_chains_and_small_graphs(spark):
+    """No node is left with edges to two roots; every node has one row and the smallest node that it reaches."""
+
+    def check(edges):
+        got = sorted(tuple(r) for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
+        root = {x: x for e in edges for x in e}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in edges:
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+        assert got == sorted((x, find(x)) for x in root)
+
+    check([(1, 5), (5, 4), (4, 3), (3, 2)])
+    # The loop ends when all graphs are done, so one length at a time.
+    random.seed(7)
+    for length in (5, 6, 9):
+        edges = []
+        for graph in range(200):
+            nodes = [100 * graph + i for i in range(length)]
+            random.shuffle(nodes)
+            edges += zip(nodes, nodes[1:], strict=False)
+            if graph % 3 == 0:
+                edges.append((nodes[0], nodes[length // 2]))
+        check(edges)
