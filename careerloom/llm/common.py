@@ -92,6 +92,13 @@ def located(docs: DataFrame, columns: Iterable[Column], file: str = "at_file", r
     return docs.select(*columns, place["file_path"].alias(file), place["row_index"].alias(row))
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of stored documents whose place (at_file, at_row) isn't in gone, a written table."""
+    place = ["__at_file", "__at_row"]
+    gone = gone.select(*(F.col(c[2:]).alias(c) for c in place))
+    return located(docs, [F.col(f"`{c}`") for c in docs.columns], *place).join(gone, place, "left_anti").drop(*place)
+
+
 def prepare(spark: SparkSession) -> None:
     """Ready a session for the Python workers of these operators.
 

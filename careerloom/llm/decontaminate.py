@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from careerloom.llm.common import hashed, joined, shingles, words, written
+from careerloom.llm.common import hashed, joined, located, shingles, stored, without, words, written
 
 WIDTH = 5
 #: Percent of an item's shingles that a document holds at least.
@@ -55,6 +55,22 @@ def contained_items(
     Null and blank texts contain nothing and are contained nowhere. Rows with equal ids count as one
     document that holds what any one of its rows contains; null ids are such an id. Other columns aren't read.
     """
+    texts = docs.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("words"))
+    exact = confirmed(texts, items, ["id"], item_col, width)
+    if exact is None:
+        return no_pairs(docs, items.select(F.col(item_col).alias("item_id")), id_col)
+    return (
+        exact.groupBy("id", "item_id", "n_item")
+        .agg(F.max("n_shared").alias("n_shared"))
+        .select("id", "item_id", "n_shared", "n_item", (F.col("n_shared") / F.col("n_item")).alias("containment"))
+    )
+
+
+def confirmed(texts: DataFrame, items: DataFrame, columns: list[str], item_col: str, width: int) -> DataFrame | None:
+    """For texts (id, words, others): rows of the columns, item_id, n_shared, n_item; None if no item has a word.
+
+    Each row that has the id of a candidate is verified on its own words.
+    """
     items = written(item_table(items, item_col, "text", width), "bench-items")
     sketch = written(
         items.select("item_id", "width", F.explode("minima").alias("hash")).distinct(), "bench-sketch"
@@ -62,9 +78,8 @@ def contained_items(
     # At most `width` numbers.
     widths = [r["width"] for r in items.select("width").distinct().collect()]
     if not widths:
-        return no_pairs(docs, items, id_col)
+        return None
 
-    texts = docs.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("words"))
     seen = None
     for w in widths:
         own = texts.filter(F.size("words") >= w).select(
@@ -74,24 +89,19 @@ def contained_items(
     candidates = written(seen.join(sketch, ["width", "hash"]).select("id", "item_id").distinct(), "bench-candidates")
 
     found = candidates.join(items, candidates["item_id"].eqNullSafe(items["item_id"])).select(
-        "id", items["item_id"], "width", "shingles", "n"
+        F.col("id").alias("found_id"), items["item_id"], "width", "shingles", "n"
     )
-    pairs = texts.withColumnRenamed("id", "doc").join(found, F.col("doc").eqNullSafe(F.col("id")))
+    pairs = texts.join(found, F.col("id").eqNullSafe(F.col("found_id")))
     exact = None
     for w in widths:
         own = pairs.filter(F.col("width") == w).select(
-            "id",
+            *columns,
             "item_id",
             F.size(F.array_intersect("shingles", shingles(F.col("words"), w, joined))).cast("bigint").alias("n_shared"),
             F.col("n").cast("bigint").alias("n_item"),
         )
         exact = own if exact is None else exact.unionByName(own)
-    return (
-        exact.filter(F.expr(f"100 * n_shared >= {CONTAINMENT} * n_item"))
-        .groupBy("id", "item_id", "n_item")
-        .agg(F.max("n_shared").alias("n_shared"))
-        .select("id", "item_id", "n_shared", "n_item", (F.col("n_shared") / F.col("n_item")).alias("containment"))
-    )
+    return exact.filter(F.expr(f"100 * n_shared >= {CONTAINMENT} * n_item"))
 
 
 def no_pairs(docs: DataFrame, items: DataFrame, id_col: str) -> DataFrame:
@@ -102,6 +112,9 @@ def no_pairs(docs: DataFrame, items: DataFrame, id_col: str) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that contain no item, with all their columns."""
-    found = written(contained_items(docs, items, id_col, text_col).select("id").distinct(), "bench-found")
-    return docs.join(found, docs[id_col].eqNullSafe(found["id"]), "left_anti")
+    """The documents that contain no item, with all their columns. Each row is judged by its own text, whatever its id."""
+    docs, place = stored(docs), ["at_file", "at_row"]
+    rows = located(docs, [words(F.col(text_col)).alias("words")])
+    # Shingles carry a hash of the place; rows that share one are verified apart.
+    exact = confirmed(rows.withColumn("id", F.xxhash64(*place)), items, place, "item_id", WIDTH)
+    return docs if exact is None else without(docs, written(exact.select(*place).distinct(), "bench-found"))

@@ -20,10 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from careerloom.llm.common import word_hashes, written
+from careerloom.llm.common import located, stored, without, word_hashes, written
 from careerloom.llm.components import connected_components
 
 BANDS, ROWS = 32, 4
@@ -87,6 +87,8 @@ def runs_of_rows(batch: pa.RecordBatch, width: int) -> Iterator[tuple[bytes, np.
 
 
 def signer(width: int):
+    """Marks of rows with word hashes; other columns are passed on."""
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, sizes = [], np.zeros(len(batch), np.int64)
@@ -95,9 +97,10 @@ def signer(width: int):
                 keys.append(key)
                 if runs is not None:
                     sizes[i], signatures[i] = len(runs), minima(runs)
+            others = [c for c in batch.schema.names if c != "hashes"]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("id"),
+                    *(batch.column(c) for c in others),
                     pa.array(keys, pa.binary()),
                     pa.array(sizes),
                     pa.array([r.tobytes() for r in signatures.astype(np.uint8)], pa.binary()),
@@ -105,7 +108,7 @@ def signer(width: int):
                         pa.list_(pa.int64())
                     ),
                 ],
-                names=["id", "key", "n_shingles", "signature", "bands"],
+                names=[*others, "key", "n_shingles", "signature", "bands"],
             )
 
     return sign
@@ -242,13 +245,27 @@ def near_groups(
     has a null component_id. kept is id = component_id, so repeated rows are all kept, and rows
     without an id are kept only in components without any id. Other columns aren't read.
     """
-    text = F.col(text_col)
-    rows = docs.select(F.col(id_col).alias("id"), word_hashes(text).alias("hashes"))
-    kind = rows.schema["id"].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("id"), word_hashes(F.col(text_col)).alias("hashes"))
+    marks, owners = components(docs, rows, None, id_col, text_col, width)
+    smallest = owners.groupBy("component").agg(F.min("id").alias("component_id"))
+    owners = written(owners.join(smallest, "component").select("key", "component_id"), "near-owners")
+    # A plain join of small rows: Spark splits what one component or one text has of them.
+    members = marks.select("id", "key", "n_shingles").join(owners, "key", "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
+    return members.select(
+        "id", "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
+    )
+
+
+def components(
+    docs: DataFrame, rows: DataFrame, first: Column | None, id_col: str, text_col: str, width: int
+) -> tuple[DataFrame, DataFrame]:
+    """Marks of rows (id, hashes, others), and nodes with key, id, component and the aggregate `first` of their marks."""
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "hashes"]
     marks = written(
         rows.mapInArrow(
             signer(width),
-            f"id {kind}, key binary, n_shingles bigint, signature binary, bands array<bigint>",
+            ", ".join([*kinds, "key binary, n_shingles bigint, signature binary, bands array<bigint>"]),
         ),
         "near-marks",
     )
@@ -257,6 +274,7 @@ def near_groups(
         .groupBy("key")
         .agg(
             F.min("id").alias("id"),
+            *([] if first is None else [first]),
             F.first("n_shingles").alias("n_shingles"),
             F.first("signature").alias("signature"),
             F.first("bands").alias("bands"),
@@ -265,17 +283,8 @@ def near_groups(
         "near-nodes",
     )
     links = all_links(docs, nodes, id_col, text_col, width)
-    owners = nodes.join(connected_components(links), "node", "left").select(
-        "key", "id", F.coalesce("component", "node").alias("component")
-    )
-    smallest = owners.groupBy("component").agg(F.min("id").alias("component_id"))
-    owners = written(owners.join(smallest, "component").select("key", "component_id"), "near-owners")
-    # A plain join of small rows: Spark splits what one component or one text has of them.
-    members = marks.select("id", "key", "n_shingles").join(owners, "key", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
-    return members.select(
-        "id", "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")
-    )
+    owners = nodes.join(connected_components(links), "node", "left")
+    return marks, owners.withColumn("component", F.coalesce("component", "node"))
 
 
 def all_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -340,7 +349,14 @@ def likely(pairs: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
-    """The documents whose id is the smallest of their group, with all their columns."""
-    gone = near_groups(docs, id_col, text_col, width).filter("not kept").select("id").distinct()
-    gone = written(gone, "near-gone")
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["id"]), "left_anti")
+    """One document of each group, with all its columns: the smallest id, null ids last; of equal ids, the one stored first.
+
+    Texts without words are in no group and stay.
+    """
+    docs, place = stored(docs), ["at_file", "at_row"]
+    rows = located(docs, [F.col(id_col).alias("id"), word_hashes(F.col(text_col)).alias("hashes")])
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", *place)).alias("first")
+    marks, owners = components(docs, rows, first, id_col, text_col, width)
+    kept = written(owners.groupBy("component").agg(F.min("first").alias("first")).select("first.*"), "near-kept")
+    gone = marks.filter("n_shingles > 0").select(*place).join(kept.select(*place), place, "left_anti")
+    return without(docs, written(gone, "near-gone"))

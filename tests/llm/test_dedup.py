@@ -210,3 +210,22 @@ def test_components_of_chains_and_small_graphs(spark):
             if graph % 3 == 0:
                 edges.append((nodes[0], nodes[length // 2]))
         check(edges)
+
+
+def test_one_of_each_near_group_stays(documents):
+    """Rows go one by one: those that share an id, or have none, don't share their fate."""
+    base, other = "a b c d e f g h i j k l m n o p q r s t u v w x y z", " ".join(f"o{i}" for i in range(30))
+    near, none = f"{base} end", " ".join(f"n{i}" for i in range(30))
+    rows = [
+        (1, base), (None, near), (None, "alone without an id or any copy"), (None, "another one of these"),
+        (7, "only here under this very id"), (7, other + " end"), (3, other), (9, "x1 x2 x3 x4 x5"), (9, "X1 x2 x3 x4 x5"),
+        (None, none), (None, none + " end"), (None, None), (None, None),
+    ]
+    df = documents(*rows)
+    kept = minhash.keep_one(df)
+    assert kept.columns == df.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    left = [r for r in got if r[1] and r[1].lower() != rows[7][1] and not r[1].startswith("n0")]
+    assert left == sorted([rows[0], *rows[2:5], rows[6]], key=repr)
+    assert sum(i == 9 for i, _ in got) == 1 and sum((t or "").startswith("n0") for _, t in got) == 1
+    assert got.count((None, None)) == 2

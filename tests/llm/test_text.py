@@ -61,6 +61,14 @@ def test_contained_items(documents, spark):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(d) for d, _ in docs if str(d) not in dirty)
 
 
+def test_only_contaminated_rows_go(documents, spark):
+    """A row without an id, or with a repeated one, takes no other row with it."""
+    items = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
+    rows = [(None, "a b c d e f"), (None, "clean"), (None, None), (7, "x a b c d e f"), (7, "also clean")]
+    kept = decontaminate.drop_contaminated(documents(*rows), items)
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted([rows[1], rows[2], rows[4]], key=repr)
+
+
 @pytest.mark.parametrize("which", ["documents", "items"])
 def test_nothing_to_search(documents, spark, which):
     docs, items = documents((1, "a b c d e f")), spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
