@@ -67,3 +67,49 @@ FROM doc JOIN item USING (width, shingle) JOIN size USING (item_id)
 GROUP BY doc_id, item_id, n_item
 HAVING 100 * count(*) >= 80 * n_item
 """
+
+TERMS = rf"regexp_extract_all({NORMAL}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+
+SQL["op12_divergence_quadtree"] = f"""
+WITH d AS (
+    SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS k, {TERMS} AS w
+    FROM documents
+),
+t AS (SELECT lang, source, k, unnest(w) AS term FROM d),
+kept AS (
+    SELECT lang, term, count(*)::HUGEINT AS total FROM t GROUP BY lang, term HAVING count(DISTINCT k) >= 3
+),
+c AS (
+    SELECT t.lang, t.source, t.term, count(*)::HUGEINT AS c
+    FROM t JOIN kept ON t.lang = kept.lang AND t.term = kept.term GROUP BY ALL
+),
+v AS (SELECT lang, count(*)::HUGEINT AS v, sum(total)::HUGEINT AS n FROM kept GROUP BY lang),
+g AS (
+    SELECT o.lang, o.source, coalesce(s.n, 0)::HUGEINT AS n, coalesce(v.v, 0) AS v
+    FROM (SELECT DISTINCT lang, source FROM d) o
+    LEFT JOIN (SELECT lang, source, sum(c) AS n FROM c GROUP BY ALL) s ON s.lang = o.lang AND s.source = o.source
+    LEFT JOIN v ON v.lang = o.lang
+),
+p AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+           1 + (1000000000::HUGEINT * (coalesce(c.c, 0) + 1)) // (g.n + g.v) AS p,
+           1 + (1000000000::HUGEINT * (k.total + 1)) // (v.n + v.v) AS q
+    FROM g JOIN kept k ON k.lang = g.lang JOIN v ON v.lang = g.lang
+    LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+),
+priced AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+parts AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(priced.value, 0)::BIGINT AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN priced ON priced.lang = a.lang AND priced.source = a.source AND priced.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (((p - q) * (p - q)) // q)::BIGINT FROM p WHERE c > 0 AND p > q
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts
+)
+SELECT lang, source, part, item, value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from careerloom.llm import (
+    byte_bpe,
     decontaminate,
+    divergence,
     exact_dedup,
     language_id,
     language_model,
@@ -18,6 +20,7 @@ from careerloom.llm import (
     quality,
     sharding,
     warc,
+    whitening,
 )
 from careerloom.llm.common import prepare, remainder, table
 
@@ -136,3 +139,27 @@ def public_tokenizer(name: str) -> str:
 def op9_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack(table(spark, folder, "documents"), public_tokenizer("byte_bpe_50k.json"))
     return packed.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query
+def op12_divergence_quadtree(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+@query
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = byte_bpe.Vocabulary(spark, public_tokenizer("byte_bpe_50k.tiktoken"))
+    encoded = byte_bpe.encode(table(spark, folder, "documents"), vocabulary, public_tokenizers.PATTERN)
+    return byte_bpe.decode(encoded, vocabulary).select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
