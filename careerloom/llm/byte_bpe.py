@@ -1,55 +1,49 @@
 """Byte-level BPE over whole corpora: every distinct pre-token is encoded once.
 
-Texts are cut into pre-tokens. Those of a block of documents are exploded as distinct words, each with the numbers under
-which it stands in the block; their places in the texts stay with the block as a sequence of numbers. A
-global shuffle brings equal words of all blocks together, where each is encoded once and
-its ids are joined to all blocks that have it. Back at the block, ids are put together by place.
-Decoding joins ids with the table of the tokens' bytes, of as many rows as the vocabulary.
+Texts are cut into pre-tokens. Those of a block of documents are exploded as its distinct words, each with its number
+in the block; their positions in the texts stay with the block as a sequence of these numbers. A global shuffle
+brings equal words of all blocks to one bucket, where each is encoded once and its ids are joined to all blocks that
+have it. Back at the block, ids are put together by position. Decoding joins ids with the table of the
+tokens' bytes, of as many rows as the vocabulary.
+
+A block sends one row to each bucket for which it has words, so there are never more rows than words.
 """
 
 from __future__ import annotations
 
 import base64
 import re
-import sys
 import unicodedata
+import zlib
 from collections.abc import Iterator
-from functools import cache, cached_property
+from functools import cached_property
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from careerloom.llm.common import written
+from careerloom.llm.common import stored
 
-#: UTF-8 bytes of text in a block, about.
-BLOCK_BYTES = 16 << 20
+#: Characters of text in a block, about; and bytes of text for each bucket of words.
+BLOCK_CHARS = 24 << 20
+BUCKET_BYTES = 48 << 20
 #: Texts are cut into pre-tokens in parts of so many characters, about.
 PART = 1 << 20
-#: Rows of words that a task gathers before it sends their ids back.
-HELD = 1 << 18
 #: A vocabulary of more bytes isn't broadcast.
 MAX_VOCABULARY = 64 << 20
 
 
-@cache
-def unassigned() -> re.Pattern:
-    """Characters that Unicode had not assigned when this Python was made.
+def has_unassigned(text: str) -> bool:
+    """Whether the text has characters that Unicode had not assigned when this Python was made.
 
     Libraries with other tables may or may not take them for letters, so only the tokenizer itself splits texts that have them.
     """
-    ranges, start = [], None
-    for code in range(0x80, sys.maxunicode + 2):
-        odd = code <= sys.maxunicode and unicodedata.category(chr(code)) == "Cn"
-        if odd and start is None:
-            start = code
-        elif not odd and start is not None:
-            ranges.append(f"\\U{start:08x}-\\U{code - 1:08x}")
-            start = None
-    return re.compile(f"[{''.join(ranges)}]")
+    return any(unicodedata.category(c) == "Cn" for c in set(text))
 
 
 def parts(text: str) -> Iterator[str]:
@@ -65,24 +59,20 @@ def parts(text: str) -> Iterator[str]:
 
 
 class Splitter:
-    """The pre-tokens of a text: matches of the pattern, or a part of it whole that only the tokenizer can split."""
+    """Pre-tokens as numbers, by first occurrence. They are matches of the pattern, or a part of a text that only the tokenizer can split."""
 
     def __init__(self, pattern: str):
         import regex
 
-        self.find = regex.compile(pattern).findall
+        self.find, self.words = regex.compile(pattern).findall, {}
 
-    def __call__(self, text: str) -> Iterator[list[str]]:
+    def __call__(self, text: str) -> np.ndarray:
+        words, found = self.words, []
         for part in parts(text):
-            yield self.find(part) if part.isascii() or not unassigned().search(part) else [part]
-
-
-class Numbers(dict):
-    """Numbers of words, by first occurrence."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self)
-        return number
+            odd = not part.isascii() and has_unassigned(part)
+            numbers = [words.setdefault(w, len(words)) for w in ([part] if odd else self.find(part))]
+            found.append(np.array(numbers, np.int32))
+        return np.concatenate(found)
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -97,73 +87,67 @@ def unpacked(data: bytes, count: int, kind) -> np.ndarray:
     return np.frombuffer(planes, np.uint8).reshape(size, count).T.copy().view(kind).ravel()
 
 
-def pre_tokens(docs: DataFrame, pattern: str, block_bytes: int) -> DataFrame:
-    """Blocks of documents: for each one row with its ids, lengths and word numbers; and a row for each of its words."""
-    kind = docs.schema["id"].dataType
-    schema = T.StructType(
-        [
-            T.StructField("kind", T.StringType()),
-            T.StructField("block", T.LongType()),
-            T.StructField("ids", T.ArrayType(kind)),
-            T.StructField("lengths", T.ArrayType(T.IntegerType())),
-            T.StructField("numbers", T.BinaryType()),
-            T.StructField("no", T.IntegerType()),
-            T.StructField("word", T.StringType()),
-        ]
-    )
-    types = [pa.string(), pa.int64(), None, pa.list_(pa.int32()), pa.binary(), pa.int32(), pa.string()]
+def pre_tokens(docs: DataFrame, pattern: str, buckets: int, block_chars: int) -> DataFrame:
+    """Rows of blocks, and rows of words for the buckets; `dealt` is a block, or -1 - bucket.
 
-    def rows(count: int, id_type: pa.DataType, **columns) -> pa.RecordBatch:
-        found = [
-            columns.get(name, pa.nulls(count, kind or pa.list_(id_type)))
-            for name, kind in zip(schema.names, types, strict=True)
-        ]
-        return pa.RecordBatch.from_arrays(found, names=schema.names)
+    A block has the ids of its documents, the lengths and the word numbers of their texts. A row of words has their
+    number, the words one after the other with their lengths, and their numbers in the block.
+    """
+    kind = docs.schema["id"].dataType
+    texts = [
+        T.StructField("ids", T.ArrayType(kind)),
+        T.StructField("lengths", T.ArrayType(T.IntegerType())),
+        T.StructField("numbers", T.BinaryType()),
+    ]
+    words = [T.StructField("words", T.IntegerType()), *(T.StructField(c, T.BinaryType()) for c in ("joined", "widths", "nos"))]
+    schema = T.StructType([T.StructField("dealt", T.LongType()), T.StructField("block", T.LongType()), *texts, *words])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        split, block = Splitter(pattern), TaskContext.get().partitionId() << 32
-        known, ids, lengths, numbers, size = Numbers(), [], [], [], 0
-
-        def flush(id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
-            flat = np.concatenate([np.zeros(0, np.int32), *numbers])
-            held = pa.concat_arrays(ids)
-            yield rows(
-                1,
-                id_type,
-                kind=pa.array(["texts"]),
-                block=pa.array([block], pa.int64()),
-                ids=pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), held),
-                lengths=pa.array([lengths], pa.list_(pa.int32())),
-                numbers=pa.array([packed(flat)], pa.binary()),
-            )
-            words = list(known)
-            for at in range(0, len(words), 10_000):
-                some = words[at : at + 10_000]
-                yield rows(
-                    len(some),
-                    id_type,
-                    kind=pa.array(["words"] * len(some)),
-                    block=pa.array([block] * len(some), pa.int64()),
-                    no=pa.array(range(at, at + len(some)), pa.int32()),
-                    word=pa.array(some, pa.string()),
+        block = TaskContext.get().partitionId() << 32
+        split, ids, numbers, size = Splitter(pattern), [], [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            flat, held = np.concatenate(numbers), pa.concat_arrays(ids)
+            kinds = [pa.int64(), pa.int64(), pa.list_(held.type), pa.list_(pa.int32()), pa.binary()]
+            kinds += [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+
+            def row(dealt: int, **columns) -> pa.RecordBatch:
+                columns |= {"dealt": pa.array([dealt], pa.int64()), "block": pa.array([block], pa.int64())}
+                found = [columns.get(c, pa.nulls(1, t)) for c, t in zip(schema.names, kinds, strict=True)]
+                return pa.RecordBatch.from_arrays(
+                    [x if isinstance(x, pa.Array) else pa.array([x], t) for x, t in zip(found, kinds, strict=True)],
+                    names=schema.names,
+                )
+
+            own = pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), held)
+            yield row(block, ids=own, lengths=[len(n) for n in numbers], numbers=packed(flat))
+            found = [w.encode() for w in split.words]
+            bucket = np.fromiter(map(zlib.crc32, found), np.int64, len(found)) % buckets
+            order = np.argsort(bucket, kind="stable").astype(np.int32)
+            names, first = np.unique(bucket[order], return_index=True)
+            for name, nos in zip(names.tolist(), np.split(order, first[1:]), strict=True):
+                some = [found[i] for i in nos.tolist()]
+                yield row(
+                    -1 - name,
+                    words=len(some),
+                    joined=pa.compress(b"".join(some), codec="zstd", asbytes=True),
+                    widths=packed(np.fromiter(map(len, some), np.int32, len(some))),
+                    nos=packed(nos),
                 )
 
         for batch in batches:
             for i, text in enumerate(batch.column("text")):
                 text = text.as_py() or ""
-                found = [np.fromiter(map(known.__getitem__, w), np.int32, len(w)) for w in split(text)]
-                numbers += found
-                lengths.append(sum(map(len, found)))
+                numbers.append(split(text))
                 ids.append(batch.column("id").slice(i, 1))
                 size += len(text)
-                if size >= block_bytes:
-                    yield from flush(batch.column("id").type)
-                    block += 1
-                    known, ids, lengths, numbers, size = Numbers(), [], [], [], 0
+                if size >= block_chars:
+                    yield from flush()
+                    split, ids, numbers, size, block = Splitter(pattern), [], [], 0, block + 1
         if ids:
-            yield from flush(ids[0].type)
+            yield from flush()
 
     return docs.mapInArrow(make, schema)
 
@@ -208,66 +192,50 @@ def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
 
 
-def encode_words(vocabulary: Vocabulary, pattern: str):
-    """Of rows (block, no, word) in the order of words: packed rows (block, words, tokens, nos, counts, ids).
+ANSWER = "block bigint, words int, tokens int, nos binary, counts binary, ids binary"
+ANSWER_TYPES = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
 
-    Each distinct word is encoded once, and its ids are handed to all its rows.
-    """
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = vocabulary.encoding(pattern)
-        last, blocks, nos, place, codes, held = None, [], [], [], [], 0
-
-        def flush() -> pa.RecordBatch:
-            block, no, code = map(np.concatenate, (blocks, nos, place))
-            flat = np.fromiter((t for c in codes for t in c), np.uint32)
-            lengths = np.fromiter(map(len, codes), np.int64, len(codes))
-            starts = np.cumsum(lengths) - lengths
-            order = np.lexsort((no, block))
-            names, first = np.unique(block[order], return_index=True)
-            out = []
-            for rows in np.split(order, first[1:]):
-                tokens, counts = code[rows], lengths[code[rows]]
-                ids = gathered(flat, starts[tokens], counts)
-                out.append((len(rows), len(ids), packed(no[rows]), packed(counts.astype(np.int32)), packed(ids)))
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(names, pa.int64()),
-                    *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), PACKED_TYPES, strict=True)),
-                ],
-                names=["block", "words", "tokens", "nos", "counts", "ids"],
-            )
+def encode_words(vocabulary: Vocabulary, pattern: str):
+    """Of the rows of words that blocks sent to a bucket: each distinct word encoded once, and its ids for each row."""
 
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoding, places, codes = None, {}, []
         for batch in batches:
-            found = []
-            for word in batch.column("word").to_pylist():
-                if word != last:
-                    last = word
-                    # A part that only the tokenizer can split is split by it; it leaves all other words whole.
-                    codes.append(encoding.encode_ordinary(word))
-                found.append(len(codes) - 1)
-            blocks.append(batch.column("block").to_numpy())
-            nos.append(batch.column("no").to_numpy())
-            place.append(np.array(found, np.int64))
-            held += len(found)
-            if held >= HELD:
-                yield flush()
-                last, blocks, nos, place, codes, held = None, [], [], [], [], 0
-        if held:
-            yield flush()
+            for row in batch.select(["block", "words", "joined", "widths", "nos"]).to_pylist():
+                if row["words"] is None:
+                    continue
+                encoding = encoding or vocabulary.encoding(pattern)
+                widths = unpacked(row["widths"], row["words"], np.int32)
+                ends = np.cumsum(widths, dtype=np.int64)
+                joined = pa.decompress(row["joined"], decompressed_size=int(ends[-1]), codec="zstd", asbytes=True)
+                own = []
+                for end, width in zip(ends.tolist(), widths.tolist(), strict=True):
+                    word = joined[end - width : end]
+                    place = places.get(word)
+                    if place is None:
+                        place = places[word] = len(codes)
+                        # A part that only the tokenizer can split is split by it; it leaves all other words whole.
+                        codes.append(encoding.encode_ordinary(word.decode()))
+                    own.append(codes[place])
+                counts = np.fromiter(map(len, own), np.int32, len(own))
+                ids = np.fromiter(chain.from_iterable(own), np.uint32)
+                answer = (row["block"], len(own), len(ids), row["nos"], packed(counts), packed(ids))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([v], t) for v, t in zip(answer, ANSWER_TYPES, strict=True)],
+                    names=["block", "words", "tokens", "nos", "counts", "ids"],
+                )
 
     return encode
 
 
-PACKED = "block bigint, words int, tokens int, nos binary, counts binary, ids binary"
-PACKED_TYPES = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-
-
 def reassemble(texts: pa.Table, answers: pa.Table) -> pa.Table:
-    """The ids of the documents of a block: those of its words, by place."""
+    """The ids of the documents of a block: those of its words, by position. Rows of words are left out."""
+    texts = texts.filter(pc.is_valid(texts.column("numbers")))
     lengths = texts.column("lengths").combine_chunks().flatten().to_numpy().astype(np.int64)
     ids = texts.column("ids").combine_chunks().flatten()
-    numbers = unpacked(texts.column("numbers")[0].as_py(), int(lengths.sum()), np.int32)
+    numbers = [unpacked(n.as_py(), int(lengths.sum()), np.int32) for n in texts.column("numbers")]
+    numbers = numbers[0] if numbers else np.zeros(0, np.int32)
     rows = answers.to_pylist()
     columns = [
         np.concatenate([np.zeros(0, kind), *(unpacked(r[name], r[size], kind) for r in rows)])
@@ -290,7 +258,8 @@ def encode(
     pattern: str,
     id_col: str = "doc_id",
     text_col: str = "text",
-    block_bytes: int = BLOCK_BYTES,
+    block_chars: int = BLOCK_CHARS,
+    bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
     """One row per document: id, ids (array of int), without special tokens.
 
@@ -298,15 +267,16 @@ def encode(
     text. Repeated rows and rows without an id are encoded like all others; an empty table gives no rows, and
     other columns aren't read. A text is whole in one block, so a block is as long as its longest text at least.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    blocks = written(pre_tokens(rows, pattern, block_bytes), "pre-tokens")
-    words = blocks.filter("kind = 'words'").select("block", "no", "word")
-    answers = words.repartition("word").sortWithinPartitions("word").mapInArrow(
-        encode_words(vocabulary, pattern), PACKED
-    )
-    texts = blocks.filter("kind = 'texts'").select("block", "ids", "lengths", "numbers")
+    # Blocks are runs of rows of files, so a task that runs again makes the same ones.
+    rows = stored(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = -(-size // bucket_bytes) + 1
+    parts = int(buckets + size // block_chars + 1)
+    # Both groupings below need the rows as they are dealt out here, so there is one exchange of them.
+    dealt = pre_tokens(rows, pattern, buckets, block_chars).repartition(parts, "dealt")
+    answers = dealt.groupBy("dealt").applyInArrow(encode_words(vocabulary, pattern), ANSWER)
     kind = rows.schema["id"].dataType.simpleString()
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    return dealt.groupBy("dealt").cogroup(answers.groupBy("block")).applyInArrow(
         reassemble, f"id {kind}, ids array<int>"
     )
 

@@ -180,14 +180,20 @@ ODD = [
 ]
 
 
+def split_words(split, text):
+    numbers, names = split(text), list(split.words)
+    return [names[n] for n in numbers]
+
+
 def test_encode_equals_the_tokenizer(spark, documents, tokenizer):  # noqa: F811
     prepare(spark)
     long = "word " * 3000 + "x" * 5000 + " \n".join(ODD)
     texts = [*ODD, None, long, long, *["same text"] * 30]
     df = documents(*((i if i % 7 else None, t) for i, t in enumerate(texts))).repartition(3)
     vocabulary = byte_bpe.Vocabulary(spark, RANKS)
-    for block_bytes in (1, 1 << 12, 1 << 24):
-        got = byte_bpe.decode(byte_bpe.encode(df, vocabulary, public_tokenizers.PATTERN, block_bytes=block_bytes), vocabulary)
+    for block, bucket in ((1 << 10, 1 << 12), (1 << 24, 1 << 24)):
+        encoded = byte_bpe.encode(df, vocabulary, public_tokenizers.PATTERN, block_chars=block, bucket_bytes=bucket)
+        got = byte_bpe.decode(encoded, vocabulary)
         rows = Counter((r["id"], tuple(r["ids"]), bytes(r["bytes"])) for r in got.collect())
         want = ((i if i % 7 else None, tuple(tokenizer.encode_ordinary(t or "")), (t or "").encode()) for i, t in enumerate(texts))
         assert rows == Counter(want)
@@ -198,16 +204,18 @@ def test_parts_begin_where_pre_tokens_do(tokenizer, monkeypatch):
     monkeypatch.setattr(byte_bpe, "PART", 7)
     split = byte_bpe.Splitter(public_tokenizers.PATTERN)
     for text in [*ODD, " a  b   c\n\nd e's 12 \n x" * 20, "aa   bbb    \n ccc" * 9]:
-        words = [w for part in split(text) for w in part]
+        words = split_words(split, text)
         assert "".join(words) == text
         assert [i for w in words for i in tokenizer.encode_ordinary(w)] == tokenizer.encode_ordinary(text)
 
 
 def test_every_character_is_split_as_by_the_tokenizer(tokenizer):
     split = byte_bpe.Splitter(public_tokenizers.PATTERN)
-    for code in [*range(0xD800), *range(0xE000, 0x110000, 7)]:
-        text = f"a{chr(code)}1{chr(code)} {chr(code)}"
-        assert [i for part in split(text) for w in part for i in tokenizer.encode_ordinary(w)] == tokenizer.encode_ordinary(text), code
+    for code in [*range(0, 0xD800, 3), *range(0xE000, 0x110000, 101)]:
+        split = byte_bpe.Splitter(public_tokenizers.PATTERN) if code % 5000 == 0 else split
+        text = f"a{chr(code)}1{chr(code)} {chr(code)} x"
+        found = [i for w in split_words(split, text) for i in tokenizer.encode_ordinary(w)]
+        assert found == tokenizer.encode_ordinary(text), code
 
 
 def test_decode_of_what_is_no_token(spark):
