@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 from careerloom.llm.common import stored
 
 #: Characters of text in a block, about; and bytes of text for each bucket of words.
-BLOCK_CHARS = 24 << 20
-BUCKET_BYTES = 48 << 20
+BLOCK_CHARS = 16 << 20
+BUCKET_BYTES = 24 << 20
 #: Texts are cut into pre-tokens in parts of so many characters, about.
 PART = 1 << 20
 #: A vocabulary of more bytes isn't broadcast.
