@@ -19,6 +19,7 @@ from careerloom.operators.panel import (
     active_in_year,
     last_known_position,
     null_sector_count,
+    null_sector_metrics,
     position_year_counts,
     position_years,
     profile_year_panel,
@@ -75,6 +76,7 @@ __all__ = [
     "line_count",
     "location_tokens",
     "null_sector_count",
+    "null_sector_metrics",
     "position_year_counts",
     "position_years",
     "profile_year_panel",

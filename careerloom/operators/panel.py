@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from careerloom.functions import (
@@ -163,6 +163,19 @@ def year_store_row_count(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count("*").alias("n_rows"))
 
 
+def null_sector_metrics(
+    sector_col: str = "sector", start_year: int = START_YEAR, end_year: int = END_YEAR
+) -> dict[str, Column]:
+    """The aggregates of :func:`null_sector_count`, for a table that is read or one that is being written."""
+    dated = dated_positions("positions", start_year, end_year, ())
+    years = last_year(dated).cast("bigint") - first_year(dated) + 1
+    counted = missing_sector(F.col(sector_col)) & (years > 0)
+    return {
+        "n_rows": F.coalesce(F.sum(F.when(counted, years)), F.lit(0)),
+        "n_profiles": F.count_if(counted),
+    }
+
+
 def null_sector_count(
     profiles: DataFrame,
     sector_col: str = "sector",
@@ -174,17 +187,8 @@ def null_sector_count(
     Taken from the length of each profile's span; the panel is not unfolded and
     no distinct count is needed.
     """
-    dated = dated_positions("positions", start_year, end_year, ())
-    return (
-        profiles.filter(missing_sector(F.col(sector_col)))
-        .select(dated.alias("_dated"))
-        .select((last_year(F.col("_dated")).cast("bigint") - first_year(F.col("_dated")) + 1).alias("_years"))
-        .filter(F.col("_years") > 0)
-        .agg(
-            F.coalesce(F.sum("_years"), F.lit(0)).alias("n_rows"),
-            F.count("*").alias("n_profiles"),
-        )
-    )
+    metrics = null_sector_metrics(sector_col, start_year, end_year)
+    return profiles.agg(*(c.alias(name) for name, c in metrics.items()))
 
 
 def sector_year_order(

@@ -19,7 +19,7 @@ from careerloom.operators import (
     feature_rows,
     label_multi_position,
     line_count,
-    null_sector_count,
+    null_sector_metrics,
     position_year_counts,
     profile_year_panel,
     prune_profile,
@@ -38,7 +38,6 @@ from careerloom.operators import (
     top_tags_per_sector,
     train_sector_year_nb,
     vote,
-    year_store_row_count,
     year_store_rows,
 )
 from careerloom.operators.model import TIE_TOLERANCE
@@ -48,26 +47,39 @@ from careerloom.sources import (
     lookup_pairs,
     model_load,
     model_store,
+    observed,
+    observed_row,
+    parse_lines,
     parse_tag_line,
     place_lookup,
+    profile_json_lines,
+    profiles_of,
     read_lines,
     read_named_lines,
-    read_profile_arrays,
-    read_profile_objects,
-    rejected_lines,
+    rejects_of,
     with_profile_id,
     write_key_list,
     write_named_outputs,
-    write_profile_json,
     written_table,
     year_store_read,
     year_store_write,
 )
 
 
-def _write_rejected(lines: DataFrame, path: str, layout: str = "array") -> None:
-    """The lines that a reader drops or reads in part, with the reason, next to an output."""
-    rejected_lines(lines, layout=layout).write.mode("overwrite").json(f"{path}_rejected")
+def _parsed(
+    lines: DataFrame,
+    out: str,
+    layout: str = "array",
+    columns: Sequence[str] | None = None,
+    strict: bool = False,
+) -> DataFrame:
+    """The profiles of the lines, with a number each (pid), as a written table.
+
+    Lines are read and parsed once; those that are dropped or read in part go next to an output, with the reason.
+    """
+    table = written_table(with_profile_id(parse_lines(lines, "value", layout, columns, strict)))
+    rejects_of(table).write.mode("overwrite").json(f"{out}_rejected")
+    return profiles_of(table)
 
 
 def _write_report(report: DataFrame, path: str) -> None:
@@ -81,17 +93,15 @@ def tag_industry_files(
     titles: bool = False,
     start_year: int = START_YEAR,
     end_year: int = END_YEAR,
+    strict: bool = False,
 ) -> DataFrame | None:
     """Raw profiles to ``tag,industry,...`` lines.
 
     With ``titles``, position titles count as tags too, and the number of
     positions per year is returned.
     """
-    lines = spark.read.text(raw)
-    _write_rejected(lines, out)
-    profiles = read_profile_arrays(
-        lines, columns=["industry", "skills", "positions"] if titles else ["industry", "skills"]
-    )
+    columns = ["industry", "skills", "positions"] if titles else ["industry", "skills"]
+    profiles = _parsed(spark.read.text(raw), out, "array", columns, strict)
     tags = explode_skill_tags(profiles)
     if titles:
         tags = tags.unionByName(explode_title_tags(profiles))
@@ -129,15 +139,14 @@ def data_model_files(
     train_before_only: bool = False,
     normalize: bool = False,
     sectors: Sequence[str] = SECTORS,
+    strict: bool = False,
 ) -> DataFrame:
     """Raw profiles to ``out/pruneddata``, ``out/testdata`` and ``out/models``.
 
-    Returns the number of panel rows and profiles without a sector. ``tag_sector`` and ``top_tags`` are
-    read with :func:`read_named_lines`.
+    Returns the number of panel rows and profiles without a sector, counted while the pruned profiles were written.
+    ``tag_sector`` and ``top_tags`` are read with :func:`read_named_lines`.
     """
-    lines = spark.read.text(raw)
-    _write_rejected(lines, f"{out}/raw")
-    profiles = written_table(with_profile_id(read_profile_arrays(lines).drop("relevant_experience")))
+    profiles = _parsed(spark.read.text(raw), f"{out}/raw", strict=strict).drop("relevant_experience")
     assigned = assign_sector(
         profiles,
         lookup_pairs(read_lines(spark, sector_csv), "industry", "sector"),
@@ -145,19 +154,18 @@ def data_model_files(
         normalize=normalize,
     )
     # Three outputs come from the assigned profiles.
-    pruned = written_table(prune_profile(assigned))
-    write_profile_json(pruned, f"{out}/pruneddata")
-
+    counted, missing = observed(prune_profile(assigned), **null_sector_metrics("sector", start_year, end_year))
+    pruned = written_table(counted)
     known = require_sector(pruned)
     _, test = split_by_year(profile_year_panel(known, start_year, end_year), test_year)
-    write_profile_json(test, f"{out}/testdata")
+    write_named_outputs({"pruneddata": profile_json_lines(pruned), "testdata": profile_json_lines(test)}, out)
 
     tags = written_table(lookup_lists(read_named_lines(spark, top_tags, "toptags"), "sector", "tags"))
     features = feature_columns(known, tags, k, normalize)
     panel = profile_year_panel(features, start_year, end_year, position_fields=())
     train, _ = split_by_year(feature_rows(panel, tags, k), test_year, train_before_only)
     model_store(train_sector_year_nb(train, k, sectors), f"{out}/models")
-    return null_sector_count(pruned, "sector", start_year, end_year)
+    return observed_row(spark, missing, "n_rows bigint, n_profiles bigint")
 
 
 def predictor_files(
@@ -171,14 +179,13 @@ def predictor_files(
     normalize: bool = False,
     sectors: Sequence[str] = SECTORS,
     tie_tolerance: float = TIE_TOLERANCE,
+    strict: bool = False,
 ) -> DataFrame:
     """Test data, models and top tags to ``sector,size,actual,predicted`` lines.
 
     Returns the confusion counts. People with equal features are scored once.
     """
-    lines = spark.read.text(test_data)
-    _write_rejected(lines, out, "object")
-    test = read_profile_objects(lines).withColumnRenamed("industry", "sector")
+    test = _parsed(spark.read.text(test_data), out, "object", strict=strict).withColumnRenamed("industry", "sector")
     tags = written_table(lookup_lists(read_named_lines(spark, top_tags, "toptags"), "sector", "tags"))
     features = label_multi_position(feature_columns(require_sector(test), tags, k, normalize))
     vector = ["connections", *tag_columns(k), "label"]
@@ -203,11 +210,10 @@ def headcount_files(
     out: str,
     start_year: int = START_YEAR,
     end_year: int = END_YEAR,
+    strict: bool = False,
 ) -> None:
     """Pruned profiles to ``sector,country,count`` lines for one year."""
-    lines = spark.read.text(pruned)
-    _write_rejected(lines, out, "object")
-    people = read_profile_objects(lines, columns=["industry", "location", "positions"])
+    people = _parsed(spark.read.text(pruned), out, "object", ["industry", "location", "positions"], strict)
     _write_report(
         sector_country_active(people, _places(spark, places_csv), year, "industry", start_year, end_year), out
     )
@@ -220,13 +226,12 @@ def year_store_files(
     start_year: int = START_YEAR,
     end_year: int = END_YEAR,
     load: str = "all",
+    strict: bool = False,
 ) -> DataFrame:
-    """Add pruned profiles to the year store under the name of a load; returns the number of rows written."""
-    lines = spark.read.text(pruned)
-    _write_rejected(lines, f"{store.rstrip('/')}_{load}", "object")
-    people = with_profile_id(read_profile_objects(lines))
-    year_store_write(year_store_rows(people, start_year=start_year, end_year=end_year), store, load)
-    return year_store_row_count(year_store_read(spark, store).filter(F.col("load") == load))
+    """Add pruned profiles to the year store under the name of a load; returns the number of rows, counted as they were written."""
+    people = _parsed(spark.read.text(pruned), f"{store.rstrip('/')}_{load}", "object", strict=strict)
+    written = year_store_write(year_store_rows(people, start_year=start_year, end_year=end_year), store, load)
+    return observed_row(spark, written, "n_rows bigint")
 
 
 def year_store_headcount_files(

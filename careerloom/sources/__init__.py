@@ -11,6 +11,8 @@ from careerloom.sources.lookups import (
 from careerloom.sources.outputs import (
     key_list_lines,
     matching_paths,
+    observed,
+    observed_row,
     profile_json_lines,
     read_matching_files,
     scratch_folder,
@@ -20,9 +22,12 @@ from careerloom.sources.outputs import (
     written_table,
 )
 from careerloom.sources.profiles import (
+    parse_lines,
+    profiles_of,
     read_profile_arrays,
     read_profile_objects,
     rejected_lines,
+    rejects_of,
     with_profile_id,
 )
 from careerloom.sources.stores import (
@@ -40,15 +45,20 @@ __all__ = [
     "matching_paths",
     "model_load",
     "model_store",
+    "observed",
+    "observed_row",
+    "parse_lines",
     "parse_tag_line",
     "place_lookup",
     "profile_json_lines",
+    "profiles_of",
     "read_lines",
     "read_named_lines",
     "read_matching_files",
     "read_profile_arrays",
     "read_profile_objects",
     "rejected_lines",
+    "rejects_of",
     "scratch_folder",
     "with_profile_id",
     "write_key_list",

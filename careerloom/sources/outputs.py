@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from careerloom.schema import POSITION_JSON_NAMES, PROFILE_JSON_NAMES
@@ -43,16 +44,83 @@ def write_key_list(
     key_list_lines(df, key, values).write.mode(mode).text(path)
 
 
+def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """The rows, and an observation of aggregates over them that is filled by the job that writes them.
+
+    Observe what a writing stage itself computes, after its last shuffle: of a task that runs again, only
+    the attempt that succeeds is counted there.
+    """
+    observation = Observation()
+    return df.observe(observation, *(c.alias(name) for name, c in metrics.items())), observation
+
+
+def observed_row(spark: SparkSession, observation: Observation, schema: str) -> DataFrame:
+    """What was observed as a table of one row, with the columns of ``schema``."""
+    found = observation.get
+    names = [part.split()[0] for part in schema.split(",")]
+    return spark.createDataFrame([tuple(found[n] for n in names)], schema)
+
+
 def write_named_outputs(
     outputs: Mapping[str, DataFrame], path: str, format: str = "text", mode: str = "overwrite"
 ) -> None:
-    """Write each frame under its own name: ``path/name``.
+    """Write each frame under its own name: ``path/name``, all of them in one job.
 
+    The rows of all frames are written together, partitioned by the name of their output, into a hidden folder
+    of ``path``; then each output takes its place. The rebalance gives an output few and even files, whatever
+    the size of the others. Frames with different columns can't be written together and are written one by one.
     Give frames with a common costly parent through :func:`written_table`, so
     that the parent is computed once.
     """
-    for name, df in outputs.items():
-        df.write.mode(mode).format(format).save(f"{path}/{name}")
+    frames = list(outputs.values())
+    if len({tuple(df.dtypes) for df in frames}) != 1:
+        for name, df in outputs.items():
+            df.write.mode(mode).format(format).save(f"{path}/{name}")
+        return
+    spark = frames[0].sparkSession
+    places = {name: _Place(spark, f"{path}/{name}") for name in outputs}
+    if mode in ("error", "errorifexists"):
+        for place in places.values():
+            if place.exists():
+                raise FileExistsError(f"{place.path} exists")
+    if mode == "ignore":
+        outputs = {name: df for name, df in outputs.items() if not places[name].exists()}
+    if not outputs:
+        return
+    named = [df.withColumn("__output", F.lit(name)) for name, df in outputs.items()]
+    together = reduce(DataFrame.unionByName, named).hint("rebalance", "__output")
+    hidden = f"{path}/.{uuid.uuid4().hex}"
+    together.write.format(format).partitionBy("__output").save(hidden)
+    for name in outputs:
+        places[name].take(f"{hidden}/__output={name}", replace=mode == "overwrite")
+    _Place(spark, hidden).remove()
+
+
+class _Place:
+    """A folder, on whatever file system Spark finds it."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._hadoop = spark._jvm.org.apache.hadoop.fs
+        self.path = self._hadoop.Path(path)
+        self.files = self.path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+    def exists(self) -> bool:
+        return self.files.exists(self.path)
+
+    def remove(self) -> None:
+        self.files.delete(self.path, True)
+
+    def take(self, source: str, replace: bool) -> None:
+        """Move the files of a written folder here; an output without rows becomes an empty folder."""
+        if replace:
+            self.remove()
+        self.files.mkdirs(self.path)
+        source = self._hadoop.Path(source)
+        for status in self.files.listStatus(source) if self.files.exists(source) else []:
+            file = status.getPath()
+            if not self.files.rename(file, self._hadoop.Path(self.path, file.getName())):
+                raise OSError(f"{file} can't be moved to {self.path}")
+        self.files.create(self._hadoop.Path(self.path, "_SUCCESS"), True).close()
 
 
 def _json_position(p: Column) -> Column:

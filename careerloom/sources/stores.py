@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from careerloom.functions import missing_sector
+from careerloom.sources.outputs import observed
 
 MODELS = (
     "model_year int, label string, n_rows bigint, mean_connections double, sd_connections double, "
@@ -33,20 +34,21 @@ def model_load(spark: SparkSession, path: str, sectors: Iterable[str] | None = N
     return models if sectors is None else models.filter(F.col("sector").isin(list(sectors)))
 
 
-def year_store_write(rows: DataFrame, path: str, load: str = "all") -> None:
-    """Add year-store rows under the name of a load, one folder per load and year.
+def year_store_write(rows: DataFrame, path: str, load: str = "all") -> Observation:
+    """Add year-store rows under the name of a load, one folder per load and year; observe their number, ``n_rows``.
 
     The rebalance shuffle gives each year few, evenly sized files and splits a
     year that is much larger than the others. Other loads are left alone;
     writing the same load again replaces all of it.
     """
+    dealt, observation = observed(rows.hint("rebalance", "year"), n_rows=F.count("*"))
     (
-        rows.hint("rebalance", "year")
-        .sortWithinPartitions("year", "sector")
+        dealt.sortWithinPartitions("year", "sector")
         .write.mode("overwrite")
         .partitionBy("year")
         .parquet(f"{path}/load={load}")
     )
+    return observation
 
 
 def year_store_read(spark: SparkSession, path: str, id_col: str = "pid", id_type: str = "bigint") -> DataFrame:

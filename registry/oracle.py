@@ -204,6 +204,15 @@ BLOCKS = {
         SELECT DISTINCT pid FROM (
             SELECT *, {year('start_date')} AS y1, {year('end_date')} AS y2 FROM position_clean)
         WHERE start_date IS NOT NULL AND (y1 IS NULL OR (end_date IS NOT NULL AND y2 IS NULL))""",
+    "outcome": """
+        SELECT 'profile' AS kind, count(*) AS n, 0 AS n_lines, count(industry) AS n_industries FROM array_line
+        UNION ALL
+        SELECT reason, count(*), count(*), 0 FROM (
+            SELECT CASE WHEN line_no % 11 = 1 THEN 'malformed' WHEN line_no % 11 = 4 THEN 'other_layout'
+                        WHEN line_no % 11 IN (2, 3) THEN NULL WHEN bad THEN 'bad_year' END AS reason
+            FROM (SELECT pid // 3 AS line_no, bool_or(pid IN (SELECT pid FROM bad_year_pid)) AS bad
+                  FROM people GROUP BY 1))
+        WHERE reason IS NOT NULL GROUP BY reason""",
     "skill_list": "SELECT pid, string_agg(skill, '|' ORDER BY pos) AS skills, count(*) AS n_skills FROM skill GROUP BY pid",
     "position_list": """
         SELECT pid, string_agg(start_date, '|' ORDER BY pos) AS start_dates,
@@ -227,6 +236,27 @@ SELECTS = {
                coalesce(skills, '') AS skills, coalesce(start_dates, '') AS start_dates,
                coalesce(companies, '') AS companies, coalesce(n_current, 0) AS n_current
         FROM array_line LEFT JOIN skill_list USING (pid) LEFT JOIN position_list USING (pid)""",
+    "read_profile_arrays_strict": """
+        SELECT line_no, first_name, last_name, industry, location, num_connections,
+               coalesce(skills, '') AS skills, coalesce(start_dates, '') AS start_dates,
+               coalesce(companies, '') AS companies, coalesce(n_current, 0) AS n_current
+        FROM array_line LEFT JOIN skill_list USING (pid) LEFT JOIN position_list USING (pid)
+        WHERE line_no % 13 NOT IN (5, 6)""",
+    "rejected_lines_strict": """
+        SELECT reason, count(*) AS n_lines FROM (
+            SELECT CASE WHEN line_no % 11 = 1 THEN 'malformed' WHEN line_no % 11 = 4 THEN 'other_layout'
+                        WHEN line_no % 11 IN (2, 3) THEN NULL
+                        WHEN line_no % 13 = 5 THEN 'trailing_text' WHEN line_no % 13 = 6 THEN 'wrong_type'
+                        WHEN bad THEN 'bad_year' END AS reason
+            FROM (SELECT pid // 3 AS line_no, bool_or(pid IN (SELECT pid FROM bad_year_pid)) AS bad
+                  FROM people GROUP BY 1))
+        WHERE reason IS NOT NULL GROUP BY reason""",
+    "parse_lines": """
+        SELECT * FROM outcome
+        UNION ALL
+        SELECT 'observed profiles', sum(n) FILTER (kind = 'profile')::BIGINT, NULL, NULL FROM outcome
+        UNION ALL
+        SELECT 'observed rejects', sum(n) FILTER (kind <> 'profile')::BIGINT, NULL, NULL FROM outcome""",
     "read_profile_objects": """
         SELECT pid, first_name, industry, coalesce(skills, '') AS skills,
                coalesce(end_dates, '') AS end_dates, CAST(1 AS BIGINT) AS raw_line_kept
@@ -396,5 +426,9 @@ def _needed(text: str, found: set[str]) -> None:
 def sql(name: str) -> str:
     found: set[str] = set()
     _needed(SELECTS[name], found)
-    blocks = [f"{block} AS ({text})" for block, text in BLOCKS.items() if block in found]
+    # Counts of tags are joined to skills again; they are computed once.
+    once = {"skill", "tag_count", "tag_sector"}
+    blocks = [
+        f"{block} AS {'MATERIALIZED ' if block in once else ''}({text})" for block, text in BLOCKS.items() if block in found
+    ]
     return (f"WITH {', '.join(blocks)} " if blocks else "") + SELECTS[name]

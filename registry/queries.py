@@ -140,9 +140,7 @@ def model_columns(models: DataFrame) -> DataFrame:
 # Sources and sinks
 
 
-@query
-def read_profile_arrays(x: Inputs) -> DataFrame:
-    people = sources.read_profile_arrays(tables.array_lines(x.profiles))
+def profile_array_columns(people: DataFrame) -> DataFrame:
     return people.select(
         "line_no",
         "first_name",
@@ -157,6 +155,39 @@ def read_profile_arrays(x: Inputs) -> DataFrame:
     )
 
 
+@query
+def read_profile_arrays(x: Inputs) -> DataFrame:
+    return profile_array_columns(sources.read_profile_arrays(tables.array_lines(x.profiles)))
+
+
+@query
+def read_profile_arrays_strict(x: Inputs) -> DataFrame:
+    lines = tables.strict_lines(tables.array_lines(x.profiles))
+    return profile_array_columns(sources.read_profile_arrays(lines, strict=True))
+
+
+@query
+def rejected_lines_strict(x: Inputs) -> DataFrame:
+    rejected = sources.rejected_lines(tables.strict_lines(tables.array_lines(x.profiles)), strict=True)
+    return rejected.groupBy("reason").agg(F.count("*").alias("n_lines"))
+
+
+@query
+def parse_lines(x: Inputs) -> DataFrame:
+    """Profiles and rejects of one parse, and what was observed while they were written."""
+    parsed = sources.parse_lines(tables.array_lines(x.profiles), columns=["industry"])
+    counted, seen = sources.observed(
+        parsed, n_profiles=F.count_if(F.col("reason").isNull()), n_rejects=F.count("reason")
+    )
+    table = sources.written_table(counted)
+    found = sources.observed_row(x.spark, seen, "n_profiles bigint, n_rejects bigint")
+    read = table.groupBy(F.coalesce("reason", F.lit("profile")).alias("kind")).agg(
+        F.count("*").alias("n"), F.count("rejected_line").alias("n_lines"), F.count("industry").alias("n_industries")
+    )
+    observed = found.selectExpr("stack(2, 'observed profiles', n_profiles, 'observed rejects', n_rejects) AS (kind, n)")
+    return read.unionByName(observed, allowMissingColumns=True)
+
+
 @query
 def read_profile_objects(x: Inputs) -> DataFrame:
     people = sources.read_profile_objects(
@@ -526,7 +557,7 @@ def sector_country_active(x: Inputs) -> DataFrame:
 
 @query
 def sector_country_span(x: Inputs) -> DataFrame:
-    return op.sector_country_spanning(x.headcount_people, x.places, TEST_YEAR, "industry", *YEARS)
+    return op.sector_country_span(_year_store(x), x.places, TEST_YEAR)
 
 
 @query
