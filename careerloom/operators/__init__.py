@@ -6,6 +6,7 @@ from careerloom.operators.model import (
     feature_columns,
     feature_rows,
     label_multi_position,
+    merge_models,
     score_join,
     score_nb,
     sector_models,
@@ -74,6 +75,7 @@ __all__ = [
     "label_multi_position",
     "last_known_position",
     "line_count",
+    "merge_models",
     "location_tokens",
     "null_sector_count",
     "null_sector_metrics",

@@ -17,6 +17,7 @@ is a written table: then Spark knows its size and broadcasts it.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -142,6 +143,43 @@ def train_sector_year_nb(
     )
 
 
+def _merged_moments(a: Column, b: Column) -> Column:
+    """Moments of two sets of rows together (the pairwise update of Chan, Golub and LeVeque)."""
+    n = a["n_rows"] + b["n_rows"]
+
+    def together(name: str) -> list[Column]:
+        apart = b[f"mean_{name}"] - a[f"mean_{name}"]
+        mean = a[f"mean_{name}"] + apart * b["n_rows"] / n
+        squares = sum((m["n_rows"] * m[f"sd_{name}"] * m[f"sd_{name}"] for m in (a, b)), F.lit(0.0))
+        squares += apart * apart * a["n_rows"] * b["n_rows"] / n
+        return [mean.alias(f"mean_{name}"), F.sqrt(squares / n).alias(f"sd_{name}")]
+
+    return F.struct(
+        n.alias("n_rows"),
+        *together("connections"),
+        *together("experience"),
+        F.zip_with(a["tag_counts"], b["tag_counts"], lambda x, y: x + y).alias("tag_counts"),
+    )
+
+
+def merge_models(*models: DataFrame) -> DataFrame:
+    """One model table from those of several batches of people or years, as if all had been trained at once.
+
+    Only counts and moments are read, a row for each class of a model and batch. All batches must have been trained with the same
+    top tags; a tag that one of them lacks is null in the result. Means and deviations agree with those of one training
+    up to rounding, whatever the order.
+    """
+    keys = ["sector", "model_year", "label"]
+    moments = F.struct(
+        "n_rows", "mean_connections", "sd_connections", "mean_experience", "sd_experience", "tag_counts"
+    )
+    rows = reduce(DataFrame.unionByName, [m.select(*keys, moments.alias("_m")) for m in models])
+    merged = rows.groupBy(*keys).agg(F.sort_array(F.collect_list("_m")).alias("_all"))
+    return merged.select(
+        *keys, F.reduce(F.slice("_all", 2, len(models)), F.get("_all", F.lit(0)), _merged_moments).alias("_m")
+    ).select(*keys, "_m.*")
+
+
 def _class_parameters(vocabulary_size: int) -> Column:
     """What scoring needs of one class: constant term, Gaussians, weight per tag."""
     n = F.col("n_rows").cast("double")

@@ -19,6 +19,7 @@ from careerloom.operators import (
     feature_rows,
     label_multi_position,
     line_count,
+    merge_models,
     null_sector_metrics,
     position_year_counts,
     profile_year_panel,
@@ -46,6 +47,7 @@ from careerloom.sources import (
     lookup_lists,
     lookup_pairs,
     model_load,
+    model_replace,
     model_store,
     observed,
     observed_row,
@@ -140,9 +142,14 @@ def data_model_files(
     normalize: bool = False,
     sectors: Sequence[str] = SECTORS,
     strict: bool = False,
+    add_to: str | None = None,
 ) -> DataFrame:
     """Raw profiles to ``out/pruneddata``, ``out/testdata`` and ``out/models``.
 
+    With ``add_to``, the folder of a model store, the profiles are a further batch of people: their counts and moments are
+    added to the models there, without the earlier profiles, and ``out/models`` isn't written. The top tags must be the same.
+
+
     Returns the number of panel rows and profiles without a sector, counted while the pruned profiles were written.
     ``tag_sector`` and ``top_tags`` are read with :func:`read_named_lines`.
     """
@@ -164,7 +171,12 @@ def data_model_files(
     features = feature_columns(known, tags, k, normalize)
     panel = profile_year_panel(features, start_year, end_year, position_fields=())
     train, _ = split_by_year(feature_rows(panel, tags, k), test_year, train_before_only)
-    model_store(train_sector_year_nb(train, k, sectors), f"{out}/models")
+    models = train_sector_year_nb(train, k, sectors)
+    if add_to is None:
+        model_store(models, f"{out}/models")
+    else:
+        batch = written_table(models)
+        model_replace(merge_models(model_load(spark, add_to), batch), add_to)
     return observed_row(spark, missing, "n_rows bigint, n_profiles bigint")
 
 

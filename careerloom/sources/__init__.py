@@ -32,6 +32,7 @@ from careerloom.sources.profiles import (
 )
 from careerloom.sources.stores import (
     model_load,
+    model_replace,
     model_store,
     year_store_read,
     year_store_scan,
@@ -44,6 +45,7 @@ __all__ = [
     "lookup_pairs",
     "matching_paths",
     "model_load",
+    "model_replace",
     "model_store",
     "observed",
     "observed_row",

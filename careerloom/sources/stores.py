@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from careerloom.functions import missing_sector
-from careerloom.sources.outputs import observed
+from careerloom.sources.outputs import observed, written_table
 
 MODELS = (
     "model_year int, label string, n_rows bigint, mean_connections double, sd_connections double, "
@@ -28,6 +28,18 @@ def model_store(models: DataFrame, path: str, mode: str = "overwrite") -> None:
     models.repartition("sector").write.mode(mode).partitionBy("sector").parquet(path)
 
 
+def model_replace(models: DataFrame, path: str) -> None:
+    """Write models over a store, but leave the sectors alone that have none among them. The models may have been read from it."""
+    (
+        written_table(models)
+        .repartition("sector")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("sector")
+        .parquet(path)
+    )
+
+
 def model_load(spark: SparkSession, path: str, sectors: Iterable[str] | None = None) -> DataFrame:
     """Read the model table, or only the folders of the given sectors. A store without models has no rows."""
     models = spark.read.schema(MODELS).parquet(path)

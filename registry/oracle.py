@@ -401,6 +401,7 @@ SELECTS = {
         SELECT CASE WHEN year = {TEST} THEN 'test' ELSE 'train' END AS part, year, count(*) AS n_rows
         FROM panel GROUP BY year""",
     "train_sector_year_nb": _MODEL_OUTPUT,
+    "merge_models": _MODEL_OUTPUT,
     "score_nb": "SELECT pid, model_year, predicted FROM scored",
     "vote": "SELECT pid, sector, votes, predicted FROM voted",
     "confusion_counts": """

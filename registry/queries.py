@@ -621,6 +621,18 @@ def train_sector_year_nb(x: Inputs) -> DataFrame:
     return model_columns(x.models)
 
 
+@query
+def merge_models(x: Inputs) -> DataFrame:
+    """A model store of one batch of people to which two further ones are added, compared with one training."""
+    train, _ = op.split_by_year(sources.written_table(x.features), TEST_YEAR)
+    path = f"{sources.scratch_folder(x.spark)}/models"
+    sources.model_store(op.train_sector_year_nb(train.filter("pid % 3 = 0")), path)
+    for part in (1, 2):
+        batch = sources.written_table(op.train_sector_year_nb(train.filter(F.col("pid") % 3 == part)))
+        sources.model_replace(op.merge_models(sources.model_load(x.spark, path), batch), path)
+    return model_columns(sources.model_load(x.spark, path))
+
+
 @query
 def score_nb(x: Inputs) -> DataFrame:
     scored = op.score_nb(*x.test_rows_and_models)

@@ -10,7 +10,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from careerloom import operators as op
-from careerloom import plans
+from careerloom import plans, sources
 from careerloom.schema import SECTORS
 
 FEATURES = (
@@ -182,3 +182,34 @@ def test_evidence_gives_the_same_summary_as_rows(spark, profiles, train_before_o
     assert rows(whole) == rows(op.sector_prediction_summary(voted))
     assert len(rows(whole)) == 3
     assert any(0 < r["predict_left"] < r["test_size"] for r in whole.collect())
+
+
+def test_models_of_batches_merge_to_those_of_all(spark, tmp_path):
+    rows_ = [
+        ("LAW", 2000 + i % 2, float(i * i % 97), float(i % 7), i % 2, (i // 2) % 2, None, None, None, "YES" if i % 3 else "NO")
+        for i in range(60)
+    ] + [("RETAIL_WHOLESALE", 2001, 4.0, 1.0, 1, 0, None, None, None, "NO")]
+    names = ["sector", "year", "connections", "experience", *op.tag_columns(5), "label"]
+    kinds = ["string", "int", "double", "double", *["int"] * 5, "string"]
+    df = spark.createDataFrame(rows_, ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True)))
+    vocabulary = ["LAW", "RETAIL_WHOLESALE"]
+
+    def trained(part):
+        return op.train_sector_year_nb(df.filter(part), sectors=vocabulary)
+
+    def rounded(models):
+        return sorted(
+            tuple(round(v, 9) if isinstance(v, float) else tuple(v) if isinstance(v, list) else v for v in r)
+            for r in models.select("sector", "model_year", "label", "n_rows", "mean_connections", "sd_connections", "mean_experience", "sd_experience", "tag_counts").collect()
+        )
+
+    parts = [trained(f"connections % 4 = {i}") for i in range(4)] + [trained("false")]
+    assert rounded(op.merge_models(*parts)) == rounded(trained("true")) == rounded(op.merge_models(*parts[::-1]))
+    assert rounded(op.merge_models(parts[0])) == rounded(parts[0])
+    # A store is updated from itself; sectors that the update lacks stay.
+    path = str(tmp_path / "models")
+    sources.model_store(trained("connections < 30"), path)
+    update = trained("connections >= 30 AND sector = 'LAW'")
+    stored = sources.model_load(spark, path, ["LAW"])
+    sources.model_replace(op.merge_models(stored, update), path)
+    assert rounded(sources.model_load(spark, path)) == rounded(trained("true"))
