@@ -24,35 +24,31 @@ SMOOTHING = 0.5
 UNKNOWN = "und"
 #: Characters taken up at once.
 CHUNK = 1 << 18
-LETTER = re.compile(r"[^\W\d_]")
 
 
-def buckets(text: str) -> np.ndarray:
-    """The bucket of every n-gram of the text in lower case; white space and digits count as one blank."""
-    text = " " + re.sub(r"[\W\d_]+", " ", text.lower()).strip() + " "
-    codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
-    parts = []
-    for order in ORDERS:
-        if len(codes) < order:
-            continue
-        key = np.full(len(codes) - order + 1, order, np.uint64)
-        for k in range(order):
-            key = (key * np.uint64(0x100000001B3)) ^ codes[k : len(codes) - order + 1 + k]
-        key *= np.uint64(0x9E3779B97F4A7C15)
-        parts.append((key >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64))
-    return np.concatenate(parts)
-
-
-def chunks(text: str) -> Iterator[str]:
-    """The whole text in pieces; each begins with the last characters of the one before."""
-    for at in range(0, max(len(text), 1), CHUNK):
-        yield text[max(0, at - max(ORDERS) + 1) : at + CHUNK]
+def has_letter(text: str) -> bool:
+    """Whether the text has a character of Unicode's category L; numerals such as ½ are none."""
+    return any(map(str.isalpha, text))
 
 
 def counts(text: str) -> np.ndarray:
+    """How many n-grams fall into each bucket. White space, digits and signs count as one blank; a blank is before and after the text.
+
+    The n-grams are taken up by the character at which they end, some characters at once, so each counts once.
+    """
+    text = " " + re.sub(r"[\W\d_]+", " ", text.lower()).strip() + " "
+    codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
     total = np.zeros(BUCKETS, np.int64)
-    for chunk in chunks(text):
-        total += np.bincount(buckets(chunk), minlength=BUCKETS)
+    for at in range(0, len(codes), CHUNK):
+        for order in ORDERS:
+            part = codes[max(0, at - order + 1) : at + CHUNK].astype(np.uint64)
+            if len(part) < order:
+                continue
+            key = np.full(len(part) - order + 1, order, np.uint64)
+            for k in range(order):
+                key = (key * np.uint64(0x100000001B3)) ^ part[k : len(part) - order + 1 + k]
+            key *= np.uint64(0x9E3779B97F4A7C15)
+            total += np.bincount((key >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64), minlength=BUCKETS)
     return total
 
 
@@ -79,11 +75,12 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tupl
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
     )
+    labels = rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
+    if labels > MAX_LANGUAGES:
+        raise ValueError(f"at most {MAX_LANGUAGES} languages can be learned, and there are more labels")
     # A row for each language and bucket, whatever the size of the corpus.
     table = found.toPandas()
     languages = sorted(table["lang"].unique())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"{len(languages)} labels; at most {MAX_LANGUAGES} languages can be learned")
     matrix = np.full((len(languages), BUCKETS), SMOOTHING)
     place = {name: i for i, name in enumerate(languages)}
     np.add.at(matrix, (table["lang"].map(place).to_numpy(int), table["bucket"].to_numpy(int)), table["n"].to_numpy())
@@ -100,7 +97,7 @@ def language_udf(spark: SparkSession, languages: list[str], matrix: np.ndarray):
         langs, scores = [], []
         for text in texts:
             text = text.as_py()
-            if not names or text is None or not LETTER.search(text):
+            if not names or text is None or not has_letter(text):
                 langs.append(UNKNOWN)
                 scores.append(0.0)
                 continue

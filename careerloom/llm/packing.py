@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from careerloom.llm.common import written
 
 CAPACITY = 1024
-OPEN_BINS = 1 << 17
+OPEN_BINS = 1 << 12
 END_ID = 2
 #: Pieces that one packer takes up, about.
 PACKER_PIECES = 1 << 17
@@ -167,7 +167,10 @@ def pack(
         base = TaskContext.get().partitionId() << 40
         packer = BestFit(capacity, open_bins)
         for batch in batches:
-            placed = [packer.place(n) for n in batch.column("length").to_pylist()]
+            # Of the pieces at hand, long ones come first: they leave the gaps that short ones fill.
+            lengths = batch.column("length").to_numpy()
+            placed = {i: packer.place(int(lengths[i])) for i in np.argsort(-lengths, kind="stable").tolist()}
+            placed = [placed[i] for i in range(len(lengths))]
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns,
@@ -177,8 +180,8 @@ def pack(
                 names=[*batch.schema.names, "sequence_id", "offset"],
             )
 
-    # Long pieces come first: they leave the gaps that short ones fill.
-    order = [F.col("length").desc(), F.xxhash64("id", "piece", "ids_crc32", "start")]
+    # A mixture of lengths: with few open bins, if all long pieces came first, their gaps would close before short ones come.
+    order = [F.xxhash64("id", "piece", "ids_crc32", "start")]
     dealt = table.repartition(packers, F.col("id"), F.col("piece"), F.col("ids_crc32")).sortWithinPartitions(*order)
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema)
     return dealt.mapInArrow(place, f"{fields}, sequence_id bigint, offset bigint")

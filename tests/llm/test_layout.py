@@ -169,6 +169,23 @@ def test_best_fit_against_a_plain_search(lengths, limit):
             opened.remove(chosen)
 
 
+def test_bins_close_and_cost_little(spark, documents):
+    random.seed(4)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "50")
+    rows = [(i, " the" * (random.randint(1, 60) - 1)) for i in range(3000)]
+    lengths = {}
+    for limit in (10, 1 << 12):
+        packed = packing.pack(documents(*rows), BPE, capacity=64, open_bins=limit).toPandas()
+        used = packed.groupby("sequence_id").length.sum()
+        assert len(packed) == 3000 and used.max() <= 64 and packed.groupby("sequence_id").offset.min().max() == 0
+        lengths[limit] = len(used)
+    spark.conf.set(name, before)
+    # With 10 open bins of about 1,500 the fullest have to close; that costs a few sequences in a hundred.
+    assert lengths[1 << 12] < lengths[10] < 1.1 * lengths[1 << 12]
+
+
 def test_packed_documents(documents):
     random.seed(2)
     rows = [(i, " ".join(random.choice(("the", "quick", "Zebra", "x1")) for _ in range(random.choice((3, 50, 900, 2600))))) for i in range(60)]

@@ -168,11 +168,19 @@ def test_scores_are_those_of_naive_bayes(documents):
     assert got["score"] == pytest.approx(1 / (1 + math.exp(min(log) - max(log))), rel=1e-5)
 
 
-def test_long_texts_count_whole():
-    text = "abc déf " * 100_000
-    whole = language_id.CHUNK
-    one = language_id.counts(text[:1000])
-    assert language_id.counts(text).sum() > 700 * one.sum() and len(text) > whole
+def test_long_texts_count_whole(monkeypatch):
+    text = "abc déf, " * 700 + "½ ² x"
+    whole = language_id.counts(text)
+    normal = " " + "abc déf " * 700 + "½ ² x "
+    assert whole.sum() == sum(len(normal) - k for k in range(3))
+    monkeypatch.setattr(language_id, "CHUNK", 7)
+    assert (language_id.counts(text) == whole).all()
+
+
+def test_numerals_are_no_letters(documents):
+    model = language_id.fit(documents((1, "ab", "x"), (2, "cd", "y")))
+    got = language_id.predict(documents(*enumerate(["½", "² ① Ⅷ", "1½b", "_ 5", "ª"])), *model).collect()
+    assert [r["lang_pred"] == "und" for r in sorted(got, key=lambda r: r["id"])] == [True, True, False, True, False]
 
 
 def test_no_language_is_learned(documents):
