@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from careerloom.llm.common import stored
 
 #: Characters of text in a block, about; and bytes of text for each bucket of words.
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS = 8 << 20
 BUCKET_BYTES = 24 << 20
 #: Texts are cut into pre-tokens in parts of so many characters, about.
 PART = 1 << 20
@@ -188,8 +188,12 @@ class Vocabulary:
 
 def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The runs flat[start : start + length], one after the other."""
-    ends = np.cumsum(lengths)
-    return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+    ends = np.cumsum(lengths, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if total + len(flat) < 1 << 31 else np.int64
+    places = np.repeat((starts - (ends - lengths)).astype(kind), lengths)
+    places += np.arange(total, dtype=kind)
+    return flat[places]
 
 
 ANSWER = "block bigint, words int, tokens int, nos binary, counts binary, ids binary"
