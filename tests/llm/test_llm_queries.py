@@ -108,7 +108,7 @@ def test_op6(spark, texts):
     from careerloom.llm.licenses import TEMPLATES
 
     got = run(spark, "op6_license_scan")
-    found = {(i, n) for i, t in texts for n, x in TEMPLATES.items() if x in t}
+    found = {(i, n) for i, t in texts for n, x in TEMPLATES.items() if x.text in t}
     assert found and found <= set(zip(got.doc_id, got.license, strict=True))
     assert got.coverage.between(0.8, 1).all()
 

@@ -252,8 +252,8 @@ def test_alignment():
 
 
 def test_license_scan(documents):
-    mit, cc = licenses.TEMPLATES["MIT"], licenses.TEMPLATES["CC-BY-NC-4.0"]
-    text = licenses.TEMPLATES["MIT-text"]
+    mit, cc = licenses.TEMPLATES["MIT"].text, licenses.TEMPLATES["CC-BY-NC-4.0"].text
+    text = licenses.TEMPLATES["MIT-text"].text
     broken = text.replace("free of charge", "gratis").replace("merge, ", "")
     rows = [
         (1, f"some words. {mit} more of the words"), (2, f"{cc}\n{mit}"), (3, None), (4, ""), (5, "the license of the mit"),
@@ -268,3 +268,68 @@ def test_license_scan(documents):
     ]
     assert [g[:3] for g in got if g[0] == "6"] == [("6", "MIT-text", round((n - 4) / n, 2))]
     assert licenses.scan(documents((1, mit)).limit(0)).collect() == []
+
+
+def test_licenses_that_differ_in_a_word(documents):
+    rows = [
+        (1, "This work is licensed under the GNU General Public License, version 2."), (2, "Licensed under the Apache License, Version 1.1."),
+        (3, "Licensed under CC BY-NC 3.0."), (4, "Licensed under CC BY-SA 4.0."), (5, "Released under the BSD License."),
+        (6, "Released under the ISC License."), (7, "This work is licensed under the GNU Lesser General Public License, version 3."),
+        (8, licenses.TEMPLATES["BSD-2-Clause-text"].text), (9, licenses.TEMPLATES["BSD-3-Clause-text"].text),
+        (10, licenses.TEMPLATES["LGPL-3.0-header"].text), (11, licenses.TEMPLATES["GPL-2.0-header"].text),
+        (12, "Licensed under CC BY-NC 3.0. Some more. Licensed under CC BY-NC 4.0."), (13, "Licensed under the MIT and other licenses"),
+    ]
+    got = sorted((r["id"], r["license"]) for r in licenses.scan(documents(*rows)).collect())
+    assert got == [
+        (1, "GPL-2.0"), (2, "Apache-1.1"), (4, "CC-BY-SA-4.0"), (6, "ISC"), (7, "LGPL-3.0"), (8, "BSD-2-Clause-text"),
+        (9, "BSD-3-Clause-text"), (10, "LGPL-3.0-header"), (11, "GPL-2.0-header"), (12, "CC-BY-NC-4.0"),
+    ]
+    with pytest.raises(ValueError, match="deciding"):
+        licenses.scan(documents(*rows), {"a": licenses.Notice("some words", ("other words",))})
+    plain = licenses.scan(documents((1, "so some words here")), {"a": "some words", "none": ""})
+    assert [(r["license"], r["start_word"]) for r in plain.collect()] == [("a", 1)]
+
+
+def brute_license(words, template):
+    """The largest coverage of a template by a stretch of a text, by the longest common subsequence of every stretch that holds the phrases."""
+    best = 0
+    for start in range(len(words)):
+        for end in range(start + template.needed, min(len(words), start + template.reach) + 1):
+            part = words[start:end]
+            if not all(next(licenses.places_of(p, part), None) is not None for _, p in template.fixed):
+                continue
+            if part[0] in template.words and part[-1] in template.words:
+                common = brute_lcs(part, template.words)
+                if common >= template.needed and common >= licenses.DENSITY * len(part):
+                    best = max(best, common)
+    return best / len(template.words)
+
+
+def test_license_scan_by_brute_force():
+    random.seed(12)
+    names = ["MIT", "GPL-3.0", "CC-BY-NC-4.0", "MPL-2.0", "Apache-2.0"]
+    own = {"plain": licenses.Notice("you may copy and share this text with all who keep this line in it")}
+    known = [licenses.Template(n, licenses.TEMPLATES[n], 0.8) for n in names] + [licenses.Template("plain", own["plain"], 0.8)]
+    hits = 0
+    for _ in range(60):
+        words = []
+        for _ in range(random.randrange(1, 4)):
+            notice = list(random.choice(known).words)
+            for _ in range(random.randrange(3)):
+                place = random.randrange(len(notice))
+                notice[place : place + random.randrange(2)] = [f"x{random.randrange(99)}"]
+            words += [f"w{random.randrange(99)}" for _ in range(random.randrange(9))] + notice
+        for template in known:
+            found, exact = template.best(words), brute_license(words, template)
+            assert (found[0] if found else 0) == pytest.approx(exact), (template.name, words)
+            hits += exact > 0
+    assert hits > 30
+
+
+def test_license_scan_is_linear():
+    """Windows that are aligned grow with the words, also where the template's words repeat all the time."""
+    template = licenses.Template("MIT-text", licenses.TEMPLATES["MIT-text"], 0.8)
+    aligned = [sum(1 for _ in template.in_windows(template.words * n)) for n in (10, 20, 40)]
+    assert aligned[1] <= 2 * aligned[0] + 4 and aligned[2] <= 2 * aligned[1] + 4 and aligned[2] <= 200
+    phrase = licenses.Template("MIT", licenses.TEMPLATES["MIT"], 0.8)
+    assert sum(1 for _ in phrase.around_phrases(phrase.words * 1000)) == 2000
