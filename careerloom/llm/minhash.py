@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from careerloom.llm.common import located, stored, without, word_hashes, written
@@ -33,6 +33,8 @@ WIDTH = 4
 SIMILARITY = 80
 #: Minima in which two linked nodes agree at least: four standard deviations below 80 percent.
 AGREEMENT = 84
+#: The stored place of a row, as `located` names it.
+PLACE = ["at_file", "at_row"]
 #: A bucket of more members is compared in blocks of about this many.
 BLOCK = 1024
 
@@ -115,20 +117,15 @@ def signer(width: int):
 
 
 def set_maker(width: int):
-    """(node, shingles) of rows whose text is the one of their node."""
+    """(node, shingles) of rows (node, hashes)."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, sets = [], []
-            rows = zip(batch.column("node").to_pylist(), batch.column("key").to_pylist(), runs_of_rows(batch, width), strict=True)
-            for node, key, (own, runs) in rows:
-                if own == key:
-                    nodes.append(node)
-                    sets.append(runs.view(np.int64))
+            sets = [runs.view(np.int64) for _, runs in runs_of_rows(batch, width)]
             ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
             flat = np.concatenate(sets) if sets else np.array([], np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+                [batch.column("node"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
                 names=["node", "shingles"],
             )
 
@@ -245,8 +242,9 @@ def near_groups(
     has a null component_id. kept is id = component_id, so repeated rows are all kept, and rows
     without an id are kept only in components without any id. Other columns aren't read.
     """
-    rows = docs.select(F.col(id_col).alias("id"), word_hashes(F.col(text_col)).alias("hashes"))
-    marks, owners = components(docs, rows, None, id_col, text_col, width)
+    docs = stored(docs)
+    rows = located(docs, [F.col(id_col).alias("id"), word_hashes(F.col(text_col)).alias("hashes")])
+    marks, owners = components(docs, rows, text_col, width)
     smallest = owners.groupBy("component").agg(F.min("id").alias("component_id"))
     owners = written(owners.join(smallest, "component").select("key", "component_id"), "near-owners")
     # A plain join of small rows: Spark splits what one component or one text has of them.
@@ -258,9 +256,12 @@ def near_groups(
 
 
 def components(
-    docs: DataFrame, rows: DataFrame, first: Column | None, id_col: str, text_col: str, width: int
+    docs: DataFrame, rows: DataFrame, text_col: str, width: int
 ) -> tuple[DataFrame, DataFrame]:
-    """Marks of rows (id, hashes, others), and nodes with key, id, component and the aggregate `first` of their marks."""
+    """Marks of located rows (id, hashes, place), and nodes with key, id, component and the `first` of their marks.
+
+    `first` is the mark with the smallest id (null ids last), of equal ids the one stored first. A node's text is read at its place.
+    """
     kinds = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "hashes"]
     marks = written(
         rows.mapInArrow(
@@ -274,7 +275,7 @@ def components(
         .groupBy("key")
         .agg(
             F.min("id").alias("id"),
-            *([] if first is None else [first]),
+            F.min(F.struct(F.col("id").isNull().alias("last"), "id", *PLACE)).alias("first"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("signature").alias("signature"),
             F.first("bands").alias("bands"),
@@ -282,12 +283,12 @@ def components(
         .withColumn("node", F.monotonically_increasing_id()),
         "near-nodes",
     )
-    links = all_links(docs, nodes, id_col, text_col, width)
+    links = all_links(docs, nodes, text_col, width)
     owners = nodes.join(connected_components(links), "node", "left")
     return marks, owners.withColumn("component", F.coalesce("component", "node"))
 
 
-def all_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+def all_links(docs: DataFrame, nodes: DataFrame, text_col: str, width: int) -> DataFrame:
     """Confirmed links (a, b) between nodes; enough of them to connect all that are linked."""
     banded = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
@@ -295,13 +296,12 @@ def all_links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, wid
     marks = nodes.select("node", "n_shingles", "signature", "bands")
 
     # Whole shingle sets of the nodes that share a bucket.
-    wanted = buckets.select("node").distinct().join(nodes.select("node", "key", "id"), "node")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    texts = texts.join(wanted, texts["id"].eqNullSafe(wanted["id"]))
-    texts = texts.select("node", "key", word_hashes(F.col("text")).alias("hashes"))
-    # Rows that agree in id and text give a set each; the first is taken.
-    sets = texts.mapInArrow(set_maker(width), "node bigint, shingles array<bigint>")
-    sets = written(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "near-sets")
+    wanted = buckets.select("node").distinct().join(nodes.select("node", "first"), "node")
+    wanted = wanted.select("node", *(F.col("first")[c].alias(c) for c in PLACE))
+    # Each place holds one text, so rows without an id, or with one that repeats, don't multiply.
+    texts = located(docs, [F.col(text_col).alias("text")]).join(wanted, PLACE)
+    texts = texts.select("node", word_hashes(F.col("text")).alias("hashes"))
+    sets = written(texts.mapInArrow(set_maker(width), "node bigint, shingles array<bigint>"), "near-sets")
 
     heads = buckets.groupBy("bucket").agg(F.min("node").alias("head"))
     pairs = buckets.join(heads, "bucket").filter("node != head")
@@ -353,10 +353,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
 
     Texts without words are in no group and stay.
     """
-    docs, place = stored(docs), ["at_file", "at_row"]
+    docs = stored(docs)
     rows = located(docs, [F.col(id_col).alias("id"), word_hashes(F.col(text_col)).alias("hashes")])
-    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", *place)).alias("first")
-    marks, owners = components(docs, rows, first, id_col, text_col, width)
+    marks, owners = components(docs, rows, text_col, width)
     kept = written(owners.groupBy("component").agg(F.min("first").alias("first")).select("first.*"), "near-kept")
-    gone = marks.filter("n_shingles > 0").select(*place).join(kept.select(*place), place, "left_anti")
+    gone = marks.filter("n_shingles > 0").select(*PLACE).join(kept.select(*PLACE), PLACE, "left_anti")
     return without(docs, written(gone, "near-gone"))

@@ -229,3 +229,16 @@ def test_one_of_each_near_group_stays(documents):
     assert left == sorted([rows[0], *rows[2:5], rows[6]], key=repr)
     assert sum(i == 9 for i, _ in got) == 1 and sum((t or "").startswith("n0") for _, t in got) == 1
     assert got.count((None, None)) == 2
+
+
+def test_near_copies_without_ids(documents, monkeypatch):
+    """Texts are fetched by their place, so rows without an id don't multiply."""
+    base = [f"w{i}" for i in range(60)]
+    rows = [(None, " ".join([*base, f"end{i}"])) for i in range(150)] + [(7, " ".join(base)), (7, "x y z a b c"), (7, "q r s t u v")]
+    seen = []
+    keep = minhash.written
+    monkeypatch.setattr(minhash, "written", lambda df, name: seen.append((name, keep(df, name))) or seen[-1][1])
+    got = minhash.near_groups(documents(*rows)).collect()
+    assert sorted((r["id"] or 0, r["component_id"]) for r in got) == [(0, 7)] * 150 + [(7, 7)] * 3
+    sets = next(df for name, df in seen if name == "near-sets")
+    assert sets.count() == 151 == sets.select("node").distinct().count()
