@@ -34,6 +34,7 @@ from careerloom.sources.stores import (
     model_load,
     model_replace,
     model_store,
+    year_store_keys,
     year_store_read,
     year_store_scan,
     year_store_write,
@@ -67,6 +68,7 @@ __all__ = [
     "write_named_outputs",
     "write_profile_json",
     "written_table",
+    "year_store_keys",
     "year_store_read",
     "year_store_scan",
     "year_store_write",

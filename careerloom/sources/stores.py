@@ -46,17 +46,28 @@ def model_load(spark: SparkSession, path: str, sectors: Iterable[str] | None = N
     return models if sectors is None else models.filter(F.col("sector").isin(list(sectors)))
 
 
-def year_store_write(rows: DataFrame, path: str, load: str = "all") -> Observation:
+#: Bytes of a row group of the year store: small, so that a scan of one sector passes over most groups of a file.
+KEY_GROUP_BYTES = 16 << 20
+#: Rows of a page, the smallest part of a group that a scan of a range of keys passes over.
+KEY_PAGE_ROWS = 5000
+
+
+def year_store_write(rows: DataFrame, path: str, load: str = "all", id_col: str = "pid") -> Observation:
     """Add year-store rows under the name of a load, one folder per load and year; observe their number, ``n_rows``.
 
     The rebalance shuffle gives each year few, evenly sized files and splits a
     year that is much larger than the others. Other loads are left alone;
-    writing the same load again replaces all of it.
+    writing the same load again replaces all of it. Within a file, rows lie in the order of
+    (sector, id; rows need not have an id), in small row groups with a bloom filter on the sector.
     """
     dealt, observation = observed(rows.hint("rebalance", "year"), n_rows=F.count("*"))
     (
-        dealt.sortWithinPartitions("year", "sector")
+        dealt.sortWithinPartitions(*(c for c in ("year", "sector", id_col) if c in rows.columns))
         .write.mode("overwrite")
+        .option("parquet.block.size", KEY_GROUP_BYTES)
+        .option("parquet.page.row.count.limit", KEY_PAGE_ROWS)
+        .option("parquet.bloom.filter.enabled#sector", "true")
+        .option("parquet.bloom.filter.expected.ndv#sector", "1000")
         .partitionBy("year")
         .parquet(f"{path}/load={load}")
     )
@@ -68,14 +79,40 @@ def year_store_read(spark: SparkSession, path: str, id_col: str = "pid", id_type
     return spark.read.schema(f"`{id_col}` {id_type}, {YEAR_ROWS}").parquet(path)
 
 
-def year_store_scan(store: DataFrame, year: int) -> DataFrame:
-    """Profiles of one year: the row's cells, with one position that starts in that year.
+def year_store_keys(
+    store: DataFrame,
+    year: int,
+    sector: str | None = None,
+    first_id: object = None,
+    before_id: object = None,
+    id_col: str = "pid",
+) -> DataFrame:
+    """The store's rows of a year, of a sector in it, and of ids from ``first_id`` to below ``before_id`` in that.
+
+    This is a range of the key (year, sector, id): the year prunes to a single folder of each load; sector
+    and ids are compared with the statistics and bloom filters of row groups and pages, which are
+    passed over where nothing fits. Ids are bounded only within a sector, as a range of keys is. A row without a sector has the sector ''.
+    """
+    if sector is None and (first_id is not None or before_id is not None):
+        raise ValueError("a range of ids needs a sector")
+    rows = store.filter(F.col("year") == year)
+    if sector is not None:
+        rows = rows.filter(F.col("sector") == sector)
+    if first_id is not None:
+        rows = rows.filter(F.col(id_col) >= first_id)
+    if before_id is not None:
+        rows = rows.filter(F.col(id_col) < before_id)
+    return rows
+
+
+def year_store_scan(store: DataFrame, year: int, sector: str | None = None) -> DataFrame:
+    """Profiles of one year, or of one sector in it: the row's cells, with one position that starts in that year.
 
     Rows without a sector or location are left out. On a stored table the year
-    condition prunes to a single folder.
+    condition prunes to a single folder, and the sector to the row groups and pages that hold it.
     """
     return (
-        store.filter(F.col("year") == year)
+        year_store_keys(store, year, sector)
         .filter(~missing_sector(F.col("sector")) & (F.col("location") != ""))
         .select(
             "pid",

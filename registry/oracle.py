@@ -375,6 +375,8 @@ SELECTS = {
         SELECT sector, country, count(*) AS n_profiles FROM assigned JOIN country USING (pid)
         WHERE sector IS NOT NULL AND pid IN (SELECT pid FROM dated WHERE from_year <= {TEST} AND to_year >= {TEST})
         GROUP BY sector, country""",
+    "year_store_keys": f"""
+        SELECT year, sector, pid, first_name, last_title, location FROM store WHERE year = {TEST} AND sector = 'TECHNOLOGY'""",
     "sector_country_span": f"""
         SELECT sector, country, count(*) AS n_profiles FROM store JOIN country USING (pid)
         WHERE year = {TEST} AND sector <> '' GROUP BY sector, country""",

@@ -300,6 +300,12 @@ def year_store_write(x: Inputs) -> DataFrame:
     return _year_store(x).groupBy(big("year"), "sector").agg(F.count("*").alias("n_rows"))
 
 
+@query
+def year_store_keys(x: Inputs) -> DataFrame:
+    rows = sources.year_store_keys(_year_store(x), TEST_YEAR, "TECHNOLOGY")
+    return rows.select(big("year"), "sector", "pid", "first_name", "last_title", "location")
+
+
 @query
 def year_store_scan(x: Inputs) -> DataFrame:
     people = sources.year_store_scan(_year_store(x), TEST_YEAR)

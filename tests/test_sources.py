@@ -235,3 +235,34 @@ def test_read_then_write_json_is_stable(spark):
     assert rows(again.select(*df.columns).withColumn("positions", F.to_json("positions"))) == rows(
         df.withColumn("positions", F.to_json("positions"))
     )
+
+
+def rows_read(df):
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().get("numOutputRows").get().value() for i in range(leaves.size()))
+
+
+def test_year_store_reads_a_range_of_keys(spark, tmp_path):
+    """Of a year's file, only the pages that hold the sector and the ids are read."""
+    path, n = str(tmp_path / "years"), 400_000
+    stored = spark.range(n).selectExpr(
+        "id AS pid", "concat('S', lpad(pmod(hash(id), 10), 2, '0')) AS sector", "concat('first', id) AS first_name",
+        "'l' AS last_name", "'1' AS num_connections", "'x' AS location", "0 AS rel_experience",
+        "'t' AS last_title", "'c' AS last_company", "2000 AS year",
+    )
+    sources.year_store_write(stored, path)
+    store = sources.year_store_read(spark, path)
+    wanted = stored.filter("sector = 'S03'")
+    one = sources.year_store_keys(store, 2000, "S03")
+    assert rows(one.select("pid")) == rows(wanted.select("pid"))
+    assert rows_read(one.select("pid", "sector")) < 0.3 * n
+    some = sources.year_store_keys(store, 2000, "S03", 1000, 2000)
+    assert rows(some.select("pid")) == rows(wanted.filter("pid >= 1000 AND pid < 2000").select("pid"))
+    assert rows_read(some.select("pid", "sector")) < 0.15 * n
+    # A sector between the others passes the statistics, but not the bloom filter.
+    assert rows_read(sources.year_store_keys(store, 2000, "S035").select("pid", "sector")) == 0
+    assert sources.year_store_keys(store, 1999, "S03").count() == 0
+    assert sources.year_store_scan(store, 2000, "S03").count() == wanted.count()
+    with pytest.raises(ValueError):
+        sources.year_store_keys(store, 2000, first_id=1)
