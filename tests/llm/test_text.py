@@ -85,20 +85,25 @@ def test_decontamination_runs_no_python(documents, spark):
 
 def brute_scores(rows, train, mass):
     tokens = {k: [*words(t), ""] for k, (_, t) in enumerate(rows)}
-    single, pairs = Counter(), Counter()
+    single, pairs, triples = Counter(), Counter(), Counter()
     for k, (i, _) in enumerate(rows):
         if train(i):
             single.update(tokens[k])
             pairs.update(zip(["", *tokens[k]], tokens[k], strict=False))
+            triples.update(zip(["", *tokens[k]], tokens[k], tokens[k][1:], strict=False))
     n, v = sum(single.values()), len(single)
     out = []
     for k, (i, _) in enumerate(rows):
         p = [(single[w] + 1) / (n + v + 1) for w in tokens[k]]
-        s = [
-            math.log10((pairs[h, w] + mass * q) / (single[h] + mass))
-            for h, w, q in zip(["", *tokens[k]], tokens[k], p, strict=False)
+        two = [
+            (pairs[h, w] + mass * q) / (single[h] + mass) for h, w, q in zip(["", *tokens[k]], tokens[k], p, strict=False)
         ]
-        out.append((str(i), len(tokens[k]), sum(single[w] > 0 for w in tokens[k]), n, sum(map(math.log10, p)), sum(s)))
+        s = two[:1] + [
+            (triples[g, h, w] + mass * q) / (pairs[g, h] + mass)
+            for g, h, w, q in zip(["", *tokens[k]], tokens[k], tokens[k][1:], two[1:], strict=False)
+        ]
+        logs = [sum(map(math.log10, x)) for x in (p, s)]
+        out.append((str(i), len(tokens[k]), sum(single[w] > 0 for w in tokens[k]), n, *logs))
     return sorted(out)
 
 
@@ -117,14 +122,33 @@ def test_language_model(documents, block_bytes):
 
 
 def test_model_sums_to_one():
-    """All words and one unknown word, after a seen word and after an unseen one."""
-    n_words, n_pairs = np.array([3, 2, 1, 0]), np.array([2, 1, 0, 0])
-    a = language_model.BackoffAutomaton(n_words, n_pairs, 6, 3, 5.0)
-    for before in (0, 3):
-        state = int(a.next[before])
-        arcs = np.arange(4) if before == 0 else np.full(4, 3)
-        p = [10 ** a.run(np.array([w]), arcs[w : w + 1], state)[0][0] for w in range(4)]
-        assert sum(p) == pytest.approx(1)
+    """All words and one unknown word, after two words that were seen together, two that were not, and one word alone."""
+    n_words, n_pairs, n_triples = np.array([3, 2, 1, 0]), np.array([2, 1, 0, 0, 2]), np.array([1, 1, 0, 0])
+    a = language_model.BackoffAutomaton(n_words, n_pairs, n_triples, 6, 3, 5.0)
+    seen, unseen, none = np.arange(4), np.full(4, 3), np.full(4, 2)
+
+    def after(state, before, pairs, triples):
+        """Probabilities of the words as second token, where the first one is given."""
+        return sum(
+            10 ** a.run(np.array([before, w]), np.array([state, pairs[w]]), np.array([2, triples[w]]), 0, np.array([0]))[1]
+            for w in range(4)
+        )
+
+    assert after(4, 0, seen, seen) == pytest.approx(1)
+    assert after(2, 0, seen, none) == pytest.approx(1)
+    assert after(2, 3, unseen, none) == pytest.approx(1)
+    alone = [10 ** a.run(np.array([w]), seen[w : w + 1], none[:1], 0, np.array([0]))[0] for w in range(4)]
+    assert sum(alone) == pytest.approx(1)
+
+
+def test_repeated_rows_spread_over_blocks(documents):
+    """Copies of a row, without an id too, are dealt out like other rows, and a block asks where it has keys only."""
+    rows = [(None, "the same text")] * 400
+    got = language_model.score(documents(*rows), F.lit(True), block_bytes=500).collect()
+    assert len(got) == 400 and len({r["score"] for r in got}) == 1 and got[0]["train_tokens"] == 1600
+    keys = np.array([1, 5, 1 << 63], np.uint64)
+    asked = language_model.asking(7, {1: (keys, np.array([1, 2, 3]))}, 1 << 20)
+    assert asked.column("slice").to_pylist() == [0, 1 << 19] and asked.column("block").to_pylist() == [7, 7]
 
 
 def test_model_without_training_rows(documents):
