@@ -18,6 +18,7 @@ from careerloom.functions.text import (
     clean_connections,
     clean_tag,
     connection_count,
+    has_tag,
     is_blank,
     missing_sector,
     split_fields,
@@ -33,6 +34,7 @@ __all__ = [
     "dated_positions",
     "first_year",
     "has_bad_year",
+    "has_tag",
     "is_active_in",
     "is_blank",
     "last_year",

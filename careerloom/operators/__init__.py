@@ -48,6 +48,7 @@ from careerloom.operators.sectors import (
     valid_sector,
 )
 from careerloom.operators.tags import (
+    distinct_skill_tags,
     drop_blank,
     explode_skill_tags,
     explode_title_tags,
@@ -65,6 +66,7 @@ __all__ = [
     "attach_top_tags",
     "clean_lookup",
     "confusion_counts",
+    "distinct_skill_tags",
     "dominant_skill_sector",
     "drop_blank",
     "explode_skill_tags",

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from careerloom.operators import (
     assign_sector,
     confusion_counts,
-    explode_skill_tags,
+    distinct_skill_tags,
     explode_title_tags,
     feature_columns,
     feature_rows,
@@ -104,7 +104,7 @@ def tag_industry_files(
     """
     columns = ["industry", "skills", "positions"] if titles else ["industry", "skills"]
     profiles = _parsed(spark.read.text(raw), out, "array", columns, strict)
-    tags = explode_skill_tags(profiles)
+    tags = distinct_skill_tags(profiles)
     if titles:
         tags = tags.unionByName(explode_title_tags(profiles))
     write_key_list(tag_industries(tags), out, "tag", "industries")

@@ -6,7 +6,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from careerloom import operators as op
-from careerloom.plans import tag_tables
+from careerloom.plans import jobs, tag_tables
+from careerloom.sources import written_table
 
 LOOKUP = "industry string, sector string"
 
@@ -32,6 +33,42 @@ def test_skill_and_title_tags(spark, profiles):
     assert op.drop_blank(df, "industry").count() == 2
 
 
+def test_skills_are_cleaned_once_each(spark, profiles):
+    """Texts are made distinct as written, and only then cleaned; industries are cleaned before the skills unfold."""
+    df = profiles(
+        {"pid": 1, "industry": "Oil & Energy", "skills": ["C++", "C#", " ", "", None, "##", " é "]},
+        {"pid": 2, "industry": "Oil  Energy", "skills": ["C", "R&D"]},
+        {"pid": 3, "industry": "Oil & Energy", "batch": 1, "skills": ["C++", "C++"]},
+        {"pid": 4, "industry": " ", "skills": ["x"]},
+        {"pid": 5, "industry": "&&", "skills": ["x"]},
+        {"pid": 6, "industry": None, "skills": ["x"]},
+        {"pid": 7, "industry": "Law", "skills": None},
+    )
+    got = op.distinct_skill_tags(df, ["batch"])
+    assert rows(got) == [(0, "C", "Oil  Energy"), (0, "RD", "Oil  Energy"), (1, "C", "Oil  Energy")]
+    assert rows(got) == rows(op.explode_skill_tags(df, ["batch"]).distinct())
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Generate explode")
+    assert "count(1)" in above and "regexp_replace(coalesce(tag" in above.split("count(1)")[0]
+    assert "regexp_replace(" not in above.split("count(1)", 1)[1]  # nothing is cleaned between skills and their count
+    assert below.count("regexp_replace(") == 1
+
+
+def test_tag_tables_clean_distinct_skills(spark, profiles, monkeypatch):
+    """Of the tables' counts, the part below the first aggregate must not clean a skill."""
+    plans = []
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return written_table(df)
+
+    monkeypatch.setattr(jobs, "written_table", seen)
+    tag_tables(people(profiles), lookup(spark, i1="LEGAL", i2="ENERGY"))
+    rows_of_skills = plans[0].split("Generate explode(skills")[0].split("Generate explode(_tags")[0]
+    lowest = rows_of_skills.rsplit("Aggregate", 1)[1]
+    assert "regexp_replace" not in lowest
+
+
 def test_tag_industries_are_distinct_and_sorted(spark):
     tags = spark.createDataFrame([("t", "b"), ("t", "a"), ("t", "b"), ("u", "c")], "tag string, industry string")
     assert rows(op.tag_industries(tags)) == [("t", ["a", "b"]), ("u", ["c"])]
