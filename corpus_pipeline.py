@@ -26,6 +26,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, the one with the largest doc_id."""
+    prepare(spark)
     return exact_dedup.drop_copies(docs)
 
 
@@ -37,6 +38,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no item of the benchmark table."""
+    prepare(spark)
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 

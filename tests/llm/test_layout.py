@@ -11,6 +11,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -18,7 +19,7 @@ from llm_fixtures import documents  # noqa: F401
 from pyspark.sql import functions as F
 
 from careerloom.llm import packing, sharding, warc
-from careerloom.llm.common import written
+from careerloom.llm.common import BOUNDS, prepare, written
 from careerloom.llm.queries import public_tokenizer
 
 BPE = public_tokenizer("byte_bpe_50k.json")
@@ -220,3 +221,28 @@ def test_packed_documents(documents):
 
 def test_word_pattern_is_shared():
     assert re.fullmatch(r"[\x20\x09-\x0D]+", " \t\n\x0b\x0c\r")
+
+
+def test_batches_of_long_texts_are_bounded(spark, documents, tmp_path):
+    """By bytes and rows, those for Python and those that are read; a smaller setting stays."""
+    before = {name: spark.conf.get(name) for name in BOUNDS}
+    try:
+        for name in BOUNDS:
+            spark.conf.unset(name)
+        prepare(spark)
+        documents(*((i, "x" * (1 << 20)) for i in range(40))).coalesce(1).write.parquet(f"{tmp_path}/docs")
+
+        def sizes(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_pydict({"rows": [len(batch)], "bytes": [batch.nbytes]})
+
+        docs = spark.read.parquet(f"{tmp_path}/docs").select("text")
+        got = docs.mapInArrow(sizes, "rows long, bytes long").toPandas()
+        assert got.rows.sum() == 40 and got.bytes.max() < 8 << 20
+        assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 256
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "1m")
+        prepare(spark)
+        assert docs.mapInArrow(sizes, "rows long, bytes long").toPandas().bytes.max() < 4 << 20
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
