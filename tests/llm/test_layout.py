@@ -7,8 +7,9 @@ import gzip
 import hashlib
 import random
 import re
+import unicodedata
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -140,6 +141,48 @@ def test_ids_of_special_texts():
         assert ENCODER(text) == ENCODER.whole(text)
 
 
+class Counting:
+    """A model that counts what it is asked for."""
+
+    def __init__(self, model):
+        self.model, self.asked = model, Counter()
+
+    def tokenize(self, letters):
+        self.asked[letters] += 1
+        return self.model.tokenize(letters)
+
+
+def test_frequent_pre_tokens_are_encoded_once(monkeypatch):
+    """The work for a text grows with its rare pre-tokens only, and the memory for them is bounded."""
+    monkeypatch.setattr(packing, "MEMORY", 50)
+    encoder = packing.Encoder(BPE)
+    model = Counting(encoder.tokenizer.model)
+    encoder.known = packing.Known(model)
+    frequent = [" the", " Größe", ",", " of", "\n"]
+    for i in range(100):
+        text = "".join(frequent) + f" x{i}y" + "".join(frequent) + " z" * 3
+        assert encoder(text) == encoder.whole(text)
+    letters = {w.encode().decode("latin-1").translate(packing.byte_letters()) for w in frequent}
+    assert {model.asked[w] for w in letters} == {1}
+    assert len(encoder.known) <= 50
+
+
+def test_long_pre_tokens_are_not_remembered():
+    encoder = packing.Encoder(BPE)
+    for text in ("a" * 5000, " " + "é" * 5000, "-" * 5000, "7" * 5000, " " * 5000, "b" * 64):
+        assert encoder(text) == encoder(text) == encoder.whole(text)
+    assert sum(map(len, encoder.known)) <= 64
+
+
+def test_letters_and_digits_of_plain_texts():
+    plain = [c for c in map(chr, range(0x110000)) if not packing.PLAIN.search(c)]
+    letter, space = re.compile(f"[{packing.LETTERS}]"), re.compile(r"\s")
+    for c in plain:
+        kind = unicodedata.category(c)[0]
+        assert bool(letter.fullmatch(c)) == (kind == "L") and (c in "0123456789") == (kind == "N"), c
+        assert bool(space.fullmatch(c)) == (c in " \t\n\v\f\r"), c
+
+
 def test_cut():
     assert packing.cut(1, 4) == [(0, 1)]
     assert packing.cut(4, 4) == [(0, 4)]
